@@ -277,7 +277,7 @@ def route_questions(df: DataFrame, text: str = "text", words: list[str] | None =
     """Adds `intent` (fraud_check or tax_question) and the application id a fraud question names."""
     lowered = F.lower(F.col(text))
     hit = reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(w)) for w in (FRAUD_WORDS if words is None else words)])
-    found = F.regexp_extract(F.upper(F.col(text)), r"(APP-[A-Z0-9\-]+)", 1)
+    found = F.upper(F.regexp_extract(F.col(text), r"(?i)(APP-[A-Z0-9\-]+)", 1))
     return df.withColumn("intent", F.when(hit, "fraud_check").otherwise("tax_question")).withColumn(
         "application_id", F.when((F.col("intent") == "fraud_check") & (found != ""), found)
     )
