@@ -209,13 +209,20 @@ def search_with_fallback(
     return hits.unionByName(rest.withColumn("collection", F.lit("second")))
 
 
+def plain_number(name: str) -> Column:
+    """Text of a number without an exponent, at least one digit after the point; 0 when NULL."""
+    value = F.col(name).cast("double")
+    digits = F.regexp_replace(value.try_cast("decimal(30,6)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.coalesce(F.when(F.abs(value) < 1e7, value.cast("string")).otherwise(digits), F.lit("0"))
+
+
 def record_text() -> Column:
     """The sentence a filing is embedded as."""
     def part(word, name, default):
         return F.concat(F.lit(word), F.coalesce(F.col(name).cast("string"), F.lit(default)))
 
     return F.concat(
-        part("Province ", "province", "unknown"), part(" income ", "taxable_income", "0"),
+        part("Province ", "province", "unknown"), F.lit(" income "), plain_number("taxable_income"),
         part(" employment ", "employment_type", "unknown"), part(" status ", "employment_status", "unknown"),
         part(" filing ", "filing_status", "unknown"),
         F.lit(" fraud "), F.initcap(F.coalesce(F.col("is_fraud"), F.lit(False)).cast("string")),
