@@ -10,7 +10,7 @@ from levyline.functions.text import stripped, uuid5
 
 def _field(text: str, name: str) -> Column:
     """Rest of the first line `Name: ...`, empty when there is none."""
-    return stripped(F.coalesce(F.regexp_extract(F.col(text), rf"(?m)^{name}:\s*(.+)$", 1), F.lit("")))
+    return stripped(F.coalesce(F.regexp_extract(F.col(text), rf"(?md)^{name}:\s*(.+)$", 1), F.lit("")))
 
 
 def section_chunks(files: DataFrame) -> DataFrame:
@@ -18,7 +18,7 @@ def section_chunks(files: DataFrame) -> DataFrame:
     blocks = (
         files.where(F.lower("file") != "readme.md")
         .select("file", _field("text", "Authority").alias("authority"),
-                F.posexplode(F.split("text", r"(?m)^## ")).alias("position", "block"))
+                F.posexplode(F.split("text", r"(?md)^## ")).alias("position", "block"))
         .where(F.col("position") > 0)
     )
     title = stripped(F.substring_index("block", "\n", 1))
