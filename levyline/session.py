@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the results depend on (UTC windows and text) or that guard against skew.
 SQL_SETTINGS = {
@@ -65,6 +65,13 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/levyline/{label}-{uuid.uuid4().hex}"
 
 
-def enable_checkpoints(spark: SparkSession) -> None:
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/levyline/rdd")
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table in the shared folder.
+
+    For frames that many later jobs read: lineage ends at files every executor can reach, so a
+    lost executor costs nothing but its running tasks. The rebalance gives files of even size,
+    few for little data and many for much, and so the number of tasks of each later job.
+    """
+    folder = work_folder(df.sparkSession, label)
+    df.hint("rebalance").write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
