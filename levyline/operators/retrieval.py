@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from levyline.functions.text import uuid5
-from levyline.functions.vectors import letter_profile, unit
+from levyline.functions.vectors import letter_profile
 
 BLOCK = 4096
 SCORE_DIGITS = 6
@@ -44,8 +44,8 @@ def hashing_embedder(dim: int = 64) -> Embedder:
 
 
 def letter_embedder(df: DataFrame, text: str, output: str = "vector") -> DataFrame:
-    """Unit letter counts; any SQL engine can recompute them."""
-    return df.withColumn(output, unit(letter_profile(text)))
+    """Letter counts; any SQL engine can recompute them. The search brings vectors to unit length itself."""
+    return df.withColumn(output, letter_profile(text))
 
 
 def model_embedder(encode: Callable[[list[str]], np.ndarray]) -> Embedder:
