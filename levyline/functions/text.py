@@ -44,15 +44,15 @@ def upper_trimmed(value) -> Column:
     return F.upper(trimmed(value))
 
 
-# white space in the Unicode sense, spelled out because engines read \s differently
-WHITE = (
-    r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# fixed values: white space in the Unicode sense
+WHITE = "".join(
+    map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 )
 
 
 def stripped(value) -> Column:
     """All white space off both ends."""
-    return F.regexp_replace(F.regexp_replace(col(value), rf"\A{WHITE}+", ""), rf"{WHITE}+\z", "")
+    return F.btrim(col(value), F.lit(WHITE))
 
 
 def token_estimate(value) -> Column:

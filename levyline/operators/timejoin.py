@@ -50,64 +50,44 @@ def interval_left_join(
 BUCKET = 6 * 3600
 
 
-def neighbours(
-    left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, bucket_seconds: int = BUCKET,
-) -> DataFrame:
-    """For each (key, second) of `left`: the right row at or before it and the one at or after it.
+def _bucket(second: Column, bucket_seconds: int) -> Column:
+    return F.floor(second / F.lit(bucket_seconds))
 
-    Columns: key, `_at` (epoch second), `before` and `after` (structs of the right row, `_t` being
-    its second; NULL when there is none). No pairs are formed:
 
-    * right rows are first reduced to one per key and second, left rows to their distinct seconds,
-      so a (key, bucket) group holds at most two rows per second of the bucket, whatever the input;
-    * inside a group a running last / first finds the neighbour;
-    * what a bucket cannot see comes from the nearest earlier / later bucket of that key, looked up
-      in a table with one row per key and bucket.
+def _moments(
+    left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, copies: Column, bucket_seconds: int,
+) -> DataFrame:
+    """One row per key, bucket and second: the right row of that second and whether a left row asks for it.
+
+    `copies` is the array of buckets a right row belongs to. The aggregate runs before the shuffle
+    as well, so many rows of one key and second travel as one; a (key, bucket) group holds at most
+    one row per second of the time it covers, whatever the input.
     """
     values = [c for c in right.columns if c != key]
     row = F.struct(_seconds(right_time).alias("_t"), *values)
-    events = (
+    offered = (
         right.where(F.col(key).isNotNull() & F.col(right_time).isNotNull())
-        .groupBy(key, _seconds(right_time).alias("_at"))
-        .agg(F.max(row).alias("_row"))
-        .withColumn("_bucket", F.floor(F.col("_at") / F.lit(bucket_seconds)))
+        .select(key, _seconds(right_time).alias("_at"), row.alias("_row"))
+        .select(key, F.explode(copies).alias("_bucket"), "_at", "_row", F.lit(False).alias("_asked"))
     )
     asked = (
         left.where(F.col(key).isNotNull() & F.col(left_time).isNotNull())
-        .select(key, _seconds(left_time).alias("_at")).distinct()
-        .withColumn("_bucket", F.floor(F.col("_at") / F.lit(bucket_seconds)))
+        .select(key, _seconds(left_time).alias("_at"))
+        .select(key, _bucket(F.col("_at"), bucket_seconds).alias("_bucket"), "_at",
+                F.lit(None).cast(offered.schema["_row"].dataType).alias("_row"), F.lit(True).alias("_asked"))
     )
-    both = events.select(key, "_bucket", "_at", "_row", F.lit(False).alias("_asked")).unionByName(
-        asked.select(key, "_bucket", "_at", F.lit(None).cast(events.schema["_row"].dataType).alias("_row"),
-                     F.lit(True).alias("_asked"))
+    return offered.unionByName(asked).groupBy(key, "_bucket", "_at").agg(
+        F.max("_row").alias("_row"), F.max("_asked").alias("_asked")
     )
+
+
+def _around(moments: DataFrame, key: str) -> DataFrame:
+    """Adds the nearest right row at or before, and at or after, each moment of its bucket."""
     group = Window.partitionBy(key, "_bucket").orderBy("_at")
-    inside = both.select(
-        key, "_bucket", "_at", "_asked",
-        F.last("_row", ignorenulls=True).over(
-            group.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("_before"),
-        F.first("_row", ignorenulls=True).over(
-            group.rangeBetween(Window.currentRow, Window.unboundedFollowing)).alias("_after"),
-    ).where(F.col("_asked"))
-
-    # One row per key and bucket that either side has; the carried neighbours come from other buckets.
-    edges = events.groupBy(key, "_bucket").agg(
-        F.max(F.struct("_at", "_row"))["_row"].alias("_last"), F.min(F.struct("_at", "_row"))["_row"].alias("_first")
-    )
-    buckets = both.groupBy(key, "_bucket").agg(F.lit(1).alias("_one")).drop("_one").join(
-        edges, [key, "_bucket"], "left"
-    )
-    along = Window.partitionBy(key).orderBy("_bucket")
-    carried = buckets.select(
-        key, "_bucket",
-        F.last("_last", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_earlier"),
-        F.first("_first", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("_later"),
-    )
-    return inside.join(carried, [key, "_bucket"], "left").select(
-        key, "_at",
-        F.coalesce("_before", "_earlier").alias("before"),
-        F.coalesce("_after", "_later").alias("after"),
-    )
+    return moments.withColumns({
+        "before": F.last("_row", ignorenulls=True).over(group.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "after": F.first("_row", ignorenulls=True).over(group.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
+    })
 
 
 def _attach(left: DataFrame, found: DataFrame, key: str, left_time: str) -> DataFrame:
@@ -121,22 +101,38 @@ def _attach(left: DataFrame, found: DataFrame, key: str, left_time: str) -> Data
 def asof_left_join(
     left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, bucket_seconds: int = BUCKET,
 ) -> DataFrame:
-    """Each left row with a struct `found`: the newest right row of its key at or before its time."""
-    found = neighbours(left, right, key, left_time, right_time, bucket_seconds).select(
-        key, "_at", F.col("before").alias("found")
+    """Each left row with a struct `found`: the newest right row of its key at or before its time.
+
+    No pairs are formed. Inside a bucket a running last finds the row; what lies further back comes
+    from a table with the last row of each key and bucket, which is small: one row per bucket.
+    """
+    here = F.array(_bucket(F.col("_at"), bucket_seconds))
+    moments = _moments(left, right, key, left_time, right_time, here, bucket_seconds)
+    inside = _around(moments, key).where(F.col("_asked")).select(key, "_bucket", "_at", "before")
+    ends = moments.groupBy(key, "_bucket").agg(F.max(F.when(F.col("_row").isNotNull(), F.struct("_at", "_row")))["_row"].alias("_end"))
+    along = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(key, "_bucket", F.last("_end", ignorenulls=True).over(along).alias("_earlier"))
+    found = inside.join(carried, [key, "_bucket"], "left").select(
+        key, "_at", F.coalesce("before", "_earlier").alias("found")
     )
     return _attach(left, found, key, left_time)
 
 
 def nearest_left_join(
     left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
-    before_seconds: int, after_seconds: int, bucket_seconds: int = BUCKET,
+    before_seconds: int, after_seconds: int, bucket_seconds: int | None = None,
 ) -> DataFrame:
     """Each left row once, with a struct `found`: the right row closest in time within the interval.
 
-    Of two equally close rows the later one is taken.
+    Of two equally close rows the later one is taken. Right rows are copied to the buckets their
+    interval touches, so a bucket sees everything its left rows may match; no pairs are formed.
     """
-    near = neighbours(left, right, key, left_time, right_time, bucket_seconds)
+    bucket = bucket_seconds or 2 * (before_seconds + after_seconds)
+    touched = F.sequence(
+        _bucket(F.col("_at") - after_seconds, bucket), _bucket(F.col("_at") + before_seconds, bucket)
+    )
+    moments = _moments(left, right, key, left_time, right_time, touched, bucket)
+    near = _around(moments, key).where(F.col("_asked"))
     gap_before = F.col("_at") - F.col("before._t")
     gap_after = F.col("after._t") - F.col("_at")
     has_before = F.coalesce(gap_before <= before_seconds, F.lit(False))

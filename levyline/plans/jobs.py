@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 
 from levyline.operators import audit, clean, enrich, kpi, signals
-from levyline.schemas import AUDIT, FILING, PROFILE, SIGNAL
+from levyline.schemas import AUDIT, FILING, PROFILE, SIGNAL, WINDOW_FILING
 from levyline.sources.streams import accepted, decode_json, with_event_time
 
 
-def filings_from(messages: DataFrame, delay: str | None = "30 seconds") -> DataFrame:
+def filings_from(messages: DataFrame, schema: str = FILING, delay: str | None = "30 seconds") -> DataFrame:
     """Filings of a topic with event time and, on a stream, watermark."""
-    return with_event_time(accepted(decode_json(messages, FILING)), delay)
+    return with_event_time(accepted(decode_json(messages, schema)), delay)
 
 
 def raw_archive(messages: DataFrame) -> DataFrame:
@@ -29,12 +29,12 @@ def enriched_filings(filing_messages: DataFrame, profile_messages: DataFrame, pr
 
 
 def kpi_windows(messages: DataFrame, width: str = "5 minutes") -> DataFrame:
-    return kpi.kpi_windows(filings_from(messages), width)
+    return kpi.kpi_windows(filings_from(messages, WINDOW_FILING), width)
 
 
 def fraud_patterns(messages: DataFrame, minutes: int = 10, min_filings: int = signals.MIN_FILINGS,
                    limit: float = signals.SPIKE_LIMIT) -> DataFrame:
-    return signals.derived_signals(filings_from(messages), minutes, min_filings, limit)
+    return signals.derived_signals(filings_from(messages, WINDOW_FILING), minutes, min_filings, limit)
 
 
 def detections(messages: DataFrame, source: str = "FLINK") -> DataFrame:

@@ -25,7 +25,7 @@ def stamp(column: str) -> str:
 
 
 def strip(value: str) -> str:
-    return f"regexp_replace(regexp_replace({value}, '\\A{WHITE}+', ''), '{WHITE}+\\z', '')"
+    return f"trim({value}, '{WHITE}')"
 
 
 def bucket(column: str, seconds: int) -> str:

@@ -6,6 +6,12 @@ FILING = (
     "submitted_date STRING, tax_year STRING, filing_status STRING, is_fraud BOOLEAN, _produced_at STRING"
 )
 
+# what the window jobs read of a filing; the JSON parser skips the rest
+WINDOW_FILING = (
+    "application_id STRING, customer_id STRING, province STRING, taxable_income DOUBLE, employment_type STRING, "
+    "is_fraud BOOLEAN, _produced_at STRING"
+)
+
 PROFILE = (
     "customer_id STRING, age INT, risk_score DOUBLE, historical_filings_count INT, "
     "avg_income_3yr DOUBLE, flagged_previously BOOLEAN, _produced_at STRING"

@@ -45,6 +45,8 @@ def stream_session(spark: SparkSession) -> SparkSession:
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
+    # a commit uploads the changes of the batch, not the whole store
+    sibling.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return sibling
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from levyline.functions.text import event_time
@@ -67,16 +67,19 @@ def decode_json(messages: DataFrame, schema: str, value: str = "value") -> DataF
     parsed = F.from_json(
         F.col(value), f"{schema}, _corrupt STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     )
-    variant = F.try_parse_json(F.col(value))
-    is_object = F.coalesce(F.schema_of_variant(variant).startswith("OBJECT"), F.lit(False))
+    # inline, not a projection: a filter on the parsed columns would otherwise move below and parse again
+    rows = messages.select(F.col(value).alias("_raw"), F.inline(F.array(parsed)))
     status = (
-        F.when(F.col("_row._corrupt").isNull() & F.col(value).isNotNull(), F.lit(OK))
-        .when(is_object, F.lit(BAD_FIELD))
+        F.when(F.col("_corrupt").isNull() & F.col("_raw").isNotNull(), F.lit(OK))
+        .when(_is_object("_raw"), F.lit(BAD_FIELD))
         .otherwise(F.lit(NOT_JSON))
     )
-    return messages.select(F.col(value), parsed.alias("_row")).select(
-        "_row.*", F.col(value).alias("_raw"), status.alias("_status")
-    ).drop("_corrupt")
+    return rows.withColumn("_status", status).drop("_corrupt")
+
+
+def _is_object(text: str) -> Column:
+    kind = F.schema_of_variant(F.try_parse_json(F.col(text)))
+    return F.coalesce(F.startswith(kind, F.lit("OBJECT")), F.lit(False))
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
