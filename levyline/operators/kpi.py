@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from levyline.functions.money import CENTS, exact_mean, fraud_rows
+from levyline.functions.money import CENTS, exact_mean, fraud_rows, money_mean
 from levyline.functions.text import iso_text
 
 KPI_TTL, ALERT_TTL, SESSION_TTL = 900, 1800, 3600
@@ -49,6 +49,37 @@ def kpi_windows(filings: DataFrame, width: str = "5 minutes", slide: str | None
     )
 
 
+def kpi_windows_early(filings: DataFrame, width: str = "5 minutes", error: float = 0.01) -> DataFrame:
+    """KPIs from a single aggregate, with an estimate of the distinct customers.
+
+    Runs in update mode, so that open windows reach an upsert table before the watermark passes
+    them, which it never does while a source is silent.
+    """
+    per_window = filings.groupBy(F.window("event_time", width).alias("w")).agg(
+        F.count(F.lit(1)).alias("total_count"),
+        money_mean("taxable_income").alias("avg_income"),
+        F.approx_count_distinct("customer_id", error).alias("approx_customers"),
+        fraud_rows().alias("fraud_count"),
+        F.max("province").alias("top_province"),
+    )
+    return per_window.select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "total_count", "avg_income",
+        "approx_customers", "fraud_count",
+        F.try_divide(F.col("fraud_count").cast("double"), F.col("total_count").cast("double")).alias("fraud_rate"),
+        "top_province",
+    )
+
+
+def busiest_province(filings: DataFrame, width: str = "5 minutes") -> DataFrame:
+    """Most frequent province per window, ties to the alphabetically first. `top_province` is not that."""
+    counts = filings.where(F.col("province").isNotNull()).groupBy(
+        F.window("event_time", width).alias("w"), "province"
+    ).agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy(F.col("w.start").alias("window_start")).agg(
+        F.min_by("province", F.struct(-F.col("n"), F.col("province"))).alias("busiest_province")
+    )
+
+
 def newest_windows(kpis: DataFrame, n: int = LOOKBACK) -> DataFrame:
     return kpis.orderBy(F.desc("window_start")).limit(n)
 

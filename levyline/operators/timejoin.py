@@ -82,20 +82,20 @@ def _moments(
 
 
 def _around(moments: DataFrame, key: str) -> DataFrame:
-    """Adds the nearest right row at or before, and at or after, each moment of its bucket."""
-    group = Window.partitionBy(key, "_bucket").orderBy("_at")
-    return moments.withColumns({
-        "before": F.last("_row", ignorenulls=True).over(group.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        "after": F.first("_row", ignorenulls=True).over(group.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
-    })
+    """Adds the nearest right row at or before, and at or after, each moment of its bucket.
+
+    Both are running frames, one per direction: a frame that reaches to the end of the group would
+    be walked again for every row.
+    """
+    group = Window.partitionBy(key, "_bucket")
+    nearest = F.last("_row", ignorenulls=True)
 
+    def running(order: Column):
+        return group.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-def _attach(left: DataFrame, found: DataFrame, key: str, left_time: str) -> DataFrame:
-    """Back to the left rows; NULL keys or times simply find nothing."""
-    seen = found.withColumnRenamed("_at", "_found_at").withColumnRenamed(key, "_found_key")
-    return left.join(
-        seen, (F.col(key) == F.col("_found_key")) & (_seconds(left_time) == F.col("_found_at")), "left"
-    ).drop("_found_key", "_found_at")
+    return moments.withColumns({
+        "before": nearest.over(running(F.asc("_at"))), "after": nearest.over(running(F.desc("_at"))),
+    })
 
 
 def asof_left_join(

@@ -565,6 +565,12 @@ STATEMENTS = {
                CAST(CAST(coalesce(p.risk_score, 0) AS DECIMAL(5,4)) AS DOUBLE) AS risk_score, coalesce(p.avg_income_3yr, 0) AS avg_income_3yr
         FROM typed a LEFT JOIN known p ON {HOUR}
         WHERE p.customer_id IS NOT NULL OR a.event_time + INTERVAL 1 HOUR < (SELECT wm FROM final_both)""",
+    "busiest_province": f"""
+        SELECT w AS window_start, province AS busiest_province FROM (
+          SELECT w, province, row_number() OVER (PARTITION BY w ORDER BY count(*) DESC, province) AS r
+          FROM (SELECT *, {bucket('event_time', 86400)} AS w FROM clean) WHERE province IS NOT NULL GROUP BY w, province) WHERE r = 1""",
+    "first_arrivals": "SELECT DISTINCT customer_id AS application_id FROM clean",
+    "stream_kpi_early": f"SELECT * EXCLUDE (distinct_customers) FROM ({windows('timed', 300)})",
     "stream_clean": f"SELECT {CLEAN_COLUMNS} FROM clean",
     "stream_raw_archive": "SELECT substring(submitted_date, 1, 10) AS dt, count(*) AS n, count(customer_id) AS with_customer FROM filings GROUP BY 1",
     "stream_detections": normal_form("signals"),

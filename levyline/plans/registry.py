@@ -99,6 +99,18 @@ def sliding_kpi(spark, sf):
     return kpi.kpi_windows(_clean(spark, sf), "10 minutes", "5 minutes")
 
 
+@query
+def busiest_province(spark, sf):
+    return kpi.busiest_province(_clean(spark, sf), "1 day")
+
+
+@query
+def first_arrivals(spark, sf):
+    """Ids seen at least once; the customer stands in for the application."""
+    arrivals = _clean(spark, sf).select(F.col("customer_id").alias("application_id"))
+    return streams.first_arrivals(arrivals)
+
+
 @query
 def clean_applications(spark, sf):
     return clean.cleaned(data.filings(spark, sf)).drop("flink_processed_at")
@@ -780,6 +792,26 @@ def stream_raw_archive(spark, sf):
     return stored.groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.count("customer_id").alias("with_customer"))
 
 
+KPI_ROW = (
+    "window_start TIMESTAMP, window_end TIMESTAMP, total_count BIGINT, avg_income DOUBLE, distinct_customers BIGINT, "
+    "fraud_count BIGINT, fraud_rate DOUBLE, top_province STRING"
+)
+
+
+@query
+def stream_kpi_early(spark, sf):
+    """Open windows included: update mode into an upsert table."""
+    own = stream_session(spark)
+    folder = work_folder(spark, "stream_early")
+    filings = jobs.filings_from(data.stream_of(own, sf, data.FILINGS_SQL))
+    finish(serving.start_upsert(
+        kpi.kpi_windows_early(filings), f"{folder}/kpi", f"{folder}/checkpoint", "stream_kpi_early", ["window_start"],
+        [F.desc("total_count")], output_mode="update", trigger=AVAILABLE_NOW,
+    ))
+    schema = KPI_ROW.replace("distinct_customers", "approx_customers")
+    return serving.read_current(spark, f"{folder}/kpi", schema, ["window_start"]).drop("approx_customers")
+
+
 DETECTION = (
     "detection_id STRING, application_id STRING, customer_id STRING, signal_type STRING, severity STRING, "
     "source STRING, description STRING, detected_at TIMESTAMP"
@@ -816,12 +848,6 @@ def stream_vector_sync(spark, sf):
     return vectors.collection(spark, f"{folder}/points").drop("vector", "point_id")
 
 
-KPI_ROW = (
-    "window_start TIMESTAMP, window_end TIMESTAMP, total_count BIGINT, avg_income DOUBLE, distinct_customers BIGINT, "
-    "fraud_count BIGINT, fraud_rate DOUBLE, top_province STRING"
-)
-
-
 @query
 def stream_kpi_cache(spark, sf):
     """KPI windows upserted as they close; after each batch the cache rows of the newest are rewritten."""

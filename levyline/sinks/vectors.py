@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from levyline.operators.retrieval import Embedder, new_records, record_points
+from levyline.operators.retrieval import Embedder, hashing_embedder, new_records, record_points
 from levyline.operators.skew import latest_per_key
 from levyline.sinks.serving import read_batches, read_current, upsert_batch
 
@@ -62,3 +62,9 @@ def load_all(records: DataFrame, path: str, embed: Embedder | None = None, batch
     """Full load: upsert all records as one batch."""
     points = record_points(records, embed).select(*POINT_COLUMNS)
     upsert_batch(points, batch_id, path, ["point_id"], [F.desc("application_id")])
+
+
+def load_chunks(chunks: DataFrame, path: str, embed: Embedder | None = None, batch_id: int = 0) -> None:
+    """Full load of text chunks with `chunk_id` and `point_id`; of two chunks with one id the later section stays."""
+    points = (embed or hashing_embedder())(chunks, "text", "vector")
+    upsert_batch(points, batch_id, path, ["point_id"], [F.desc("position")])

@@ -99,3 +99,8 @@ def with_event_time(df: DataFrame, delay: str | None = "30 seconds", stamp: str
 def unreadable_stamps(df: DataFrame, stamp: str = "_produced_at") -> DataFrame:
     """Rows whose stamp does not parse: they would silently fall out of every window."""
     return df.where(event_time(stamp).isNull())
+
+
+def first_arrivals(df: DataFrame, key: str = "application_id") -> DataFrame:
+    """One row per key: on a stream within the watermark delay, in a batch over all rows."""
+    return df.dropDuplicatesWithinWatermark([key]) if df.isStreaming else df.dropDuplicates([key])

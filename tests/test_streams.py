@@ -234,6 +234,25 @@ def test_listener_writes_lineage(spark, filings, tmp_path):
     assert kinds == {"START", "COMPLETE"}
 
 
+def test_first_arrivals_within_the_watermark(spark, tmp_path):
+    from levyline.sources.streams import first_arrivals
+
+    own = stream_session(spark)
+    topic = Topic(tmp_path, "twice")
+    topic.put(filing("a"), filing("a"), filing("b"))
+    topic.put(filing("a"), filing("c"))
+    stream = first_arrivals(jobs.filings_from(topic.stream(own, maxFilesPerTrigger="1")))
+    assert sorted(r["application_id"] for r in drain(stream, spark, "first").collect()) == ["a", "b", "c"]
+
+
+def test_chunks_load_by_point_id(spark, tmp_path):
+    from levyline.operators import chunks
+
+    files = spark.createDataFrame([("a.md", "## S\none\n## T\ntwo\n## S\nthree")], "file STRING, text STRING")
+    vectors.load_chunks(chunks.with_point_ids(chunks.section_chunks(files)), str(tmp_path / "kb"))
+    assert {(r["section"], r["text"]) for r in spark.read.parquet(str(tmp_path / "kb")).collect()} == {("T", "T\ntwo"), ("S", "S\nthree")}
+
+
 def test_bad_specs_are_refused(spark):
     with pytest.raises(ValueError):
         read_stream(spark, StreamSpec("t", "x", "odd"))
