@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from levyline.functions.text import event_time, seconds_text, stripped, uuid5
+from levyline.functions.text import event_time, seconds_text, uuid5
 from levyline.ml import evaluation, training
 from levyline.ml.features import CATEGORICAL, NUMERIC, FilingHistory
 from levyline.operators import analytics, audit, chunks, clean, enrich, kpi, lineage, retrieval, signals
