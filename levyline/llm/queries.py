@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from levyline.llm import chat, mixing, urls
+from levyline.llm import chat, mixing, ngram_join, tokenfiles, urls
 from levyline.session import work_folder
 
 
@@ -28,6 +28,23 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def vocabulary() -> str:
+    """The installed vocabulary file; never copied into the repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum in the token files, read back from them."""
+    return tokenfiles.token_table(table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 3-word shingles have a Jaccard similarity of 0.9 or more."""
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), 3, 90, 100)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -52,6 +69,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_url_filter": op3_url_filter,
+    "op4_token_planes": op4_token_planes,
+    "op5_ngram_join": op5_ngram_join,
     "op6_mixing": op6_mixing,
     "op10_chat_format": op10_chat_format,
 }
