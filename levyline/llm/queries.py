@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from levyline.llm import chat, mixing, ngram_join, tokenfiles, urls
+from levyline.llm import chat, decontaminate, langid, mixing, ngram_join, tokenfiles, urls
 from levyline.session import work_folder
 
 
@@ -23,6 +23,11 @@ URL_RULES = (
 )
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language and score."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's host, path, rule and verdict."""
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
@@ -50,6 +55,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the place and the number of edits."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, written, read back and summed up by digests."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -68,10 +78,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_url_filter": op3_url_filter,
     "op4_token_planes": op4_token_planes,
     "op5_ngram_join": op5_ngram_join,
     "op6_mixing": op6_mixing,
+    "op8_decontaminate": op8_decontaminate,
     "op10_chat_format": op10_chat_format,
 }
 ORACLES: dict[str, str] = {}
