@@ -168,6 +168,24 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, label: str = "profiles") -> P
     return Profiles([name for name, _ in found], np.array([v for _, v in found], np.float32).reshape(-1, DIMS))
 
 
+def judge(column: pa.Array, profiles: Profiles) -> tuple[list[str], np.ndarray]:
+    """Language and score of every text of a column, 256 texts at a time."""
+    names, scores = [], np.zeros(len(column))
+    for first in range(0, len(column), 256):
+        vectors = bundles(column.slice(first, 256).to_pylist())
+        if not profiles.languages:
+            names += [UNKNOWN] * len(vectors)
+            continue
+        lengths = np.linalg.norm(vectors, axis=1)
+        some = lengths > 0
+        cosines = vectors @ profiles.vectors.T
+        best = cosines.argmax(axis=1)
+        top = cosines[np.arange(len(best)), best] / np.where(some, lengths, 1)
+        scores[first:first + 256] = np.where(some, np.clip(top, 0, 1), 0)
+        names += [profiles.languages[b] if s else UNKNOWN for b, s in zip(best, some, strict=True)]
+    return names, scores
+
+
 def predict(texts: DataFrame, profiles: Profiles) -> DataFrame:
     """The columns of `texts` but text, with lang_pred and score, the cosine cut to 0..1.
 
@@ -179,21 +197,7 @@ def predict(texts: DataFrame, profiles: Profiles) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            n = len(batch)
-            column = batch.column(n_kept)
-            names, scores = [], np.zeros(n)
-            for first in range(0, n, 256):
-                vectors = bundles(column.slice(first, 256).to_pylist())
-                lengths = np.linalg.norm(vectors, axis=1)
-                some = lengths > 0
-                if len(profiles.languages):
-                    cosines = vectors @ profiles.vectors.T
-                    best = cosines.argmax(axis=1)
-                    top = cosines[np.arange(len(best)), best] / np.where(some, lengths, 1)
-                    scores[first:first + 256] = np.where(some, np.clip(top, 0, 1), 0)
-                    names += [profiles.languages[b] if s else UNKNOWN for b, s in zip(best, some, strict=True)]
-                else:
-                    names += [UNKNOWN] * len(vectors)
+            names, scores = judge(batch.column(n_kept), profiles)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(n_kept)), pa.array(names, pa.string()), pa.array(scores)], names=fields)
 
     n_kept, fields = len(kept), [*kept, "lang_pred", "score"]
@@ -214,3 +218,20 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     mine = docs.select("doc_id", "text", "lang").withColumn("held_out", held_out(F.col("doc_id")))
     profiles = fit(mine.filter("NOT held_out").select(F.col("doc_id").alias("id"), "text", "lang"), sample)
     return predict(mine.select("doc_id", "held_out", "text"), profiles)
+
+
+def accepted(docs: DataFrame, least: float = 0.05, sample: int = SAMPLE) -> DataFrame:
+    """The rows of `docs`, with all their columns, that have a language with a score of `least` or more.
+
+    `und` texts go, and so do texts that are like no language that was learned. With nothing learned every row goes.
+    """
+    mine = docs.select("doc_id", "text", "lang").filter(~held_out(F.col("doc_id")))
+    profiles = fit(mine.select(F.col("doc_id").alias("id"), "text", "lang"), sample)
+    place = docs.columns.index("text")
+
+    def keep(batches):
+        for batch in batches:
+            names, scores = judge(batch.column(place), profiles)
+            yield batch.filter(pa.array((scores >= least) & (np.array(names, object) != UNKNOWN)))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -77,7 +77,7 @@ def _meet(level: int, seed: int):
 
 
 def pivotal_copies(shares: DataFrame, seed: int = 0, block: int = BLOCK) -> DataFrame:
-    """Whole copies per document: (source, id, size, copies) of rows (source, id, tie, size, copies as a double).
+    """Whole copies per document: (source, id, tie, size, copies) of rows (source, id, tie, size, copies as a double).
 
     tie only tells rows with the same id apart. No document takes more than one copy above the whole part of its share.
     """
@@ -87,7 +87,7 @@ def pivotal_copies(shares: DataFrame, seed: int = 0, block: int = BLOCK) -> Data
         "base": F.col("base") + F.when(F.col("p") > 1 - _NEAR, 1).otherwise(0),
         "p": F.when((F.col("p") < _NEAR) | (F.col("p") > 1 - _NEAR) | (F.col("size") == 0), 0.0).otherwise(F.col("p"))})
     rows = written(rows, "mix-shares")
-    finished = [rows.filter("p = 0").select("source", "id", "size", F.col("base").alias("copies"))]
+    finished = [rows.filter("p = 0").select("source", "id", "tie", "size", F.col("base").alias("copies"))]
     open_rows, level = rows.filter("p > 0"), 0
     schema = "array<struct<id:bigint,tie:bigint,size:bigint,base:bigint,p:double>>"
     while True:
@@ -105,15 +105,15 @@ def pivotal_copies(shares: DataFrame, seed: int = 0, block: int = BLOCK) -> Data
         met = F.aggregate(F.slice("items", 2, F.greatest(F.size("items") - 1, F.lit(1))), start, _meet(level, seed))
         met = written(gathered.select("source", met.alias("met")), "mix-level")
         done = met.select("source", F.explode("met.done").alias("d"))
-        finished.append(done.select("source", "d.id", "d.size", (F.col("d.base") + F.col("d.p").cast("long")).alias("copies")))
+        finished.append(done.select("source", "d.id", "d.tie", "d.size", (F.col("d.base") + F.col("d.p").cast("long")).alias("copies")))
         held = met.select("source", "met.held.*")
         whole = (F.col("p") < _NEAR) | (F.col("p") > 1 - _NEAR)
         if most == 1:  # the root: one document per source, rounded by itself
             up = (_chance(F.lit(seed), F.lit(-1), F.col("id"), F.col("tie")) < F.col("p")).cast("long")
             last = F.when(whole, F.round("p").cast("long")).otherwise(up)
-            finished.append(held.select("source", "id", "size", (F.col("base") + last).alias("copies")))
+            finished.append(held.select("source", "id", "tie", "size", (F.col("base") + last).alias("copies")))
             break
-        finished.append(held.filter(whole).select("source", "id", "size", (F.col("base") + F.round("p").cast("long")).alias("copies")))
+        finished.append(held.filter(whole).select("source", "id", "tie", "size", (F.col("base") + F.round("p").cast("long")).alias("copies")))
         open_rows, level = held.filter(~whole), level + 1
     out = finished[0]
     for more in finished[1:]:
@@ -121,12 +121,8 @@ def pivotal_copies(shares: DataFrame, seed: int = 0, block: int = BLOCK) -> Data
     return out
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0) -> DataFrame:
-    """doc_id, size, source_size, target, copies, taken of every row of `docs` (doc_id, text, source; others are left out).
-
-    A null text has size 0; null sources are one source, the last. Rows that repeat a doc_id are documents of their own; those
-    alike in every column are interchangeable. An empty table gives no rows. taken = copies * size.
-    """
+def _mixed(docs: DataFrame, weights: Sequence[float], share: float, most: float, seed: int) -> DataFrame:
+    """doc_id, tie (hash of the text), size, source_size, target, copies of every row of `docs`."""
     sized = written(docs.select(
         F.col("doc_id").alias("id"), F.xxhash64("text").alias("tie"), "source", word_count(F.col("text")).alias("size")), "mix-sizes")
     targets = written(source_targets(sized, weights, share, most), "mix-targets")
@@ -135,4 +131,26 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     shares = with_target.withColumn("copies", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     copies = pivotal_copies(shares, seed)
     return copies.join(t, copies.source.eqNullSafe(F.col("t_source"))).select(
-        F.col("id").alias("doc_id"), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        F.col("id").alias("doc_id"), "tie", "size", "source_size", "target", "copies")
+
+
+def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0) -> DataFrame:
+    """doc_id, size, source_size, target, copies, taken of every row of `docs` (doc_id, text, source; others are left out).
+
+    A null text has size 0; null sources are one source, the last. Rows that repeat a doc_id are documents of their own; those
+    alike in every column are interchangeable. An empty table gives no rows. taken = copies * size.
+    """
+    rows = _mixed(docs, weights, share, most, seed).drop("tie")
+    return rows.withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def repeated(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0) -> DataFrame:
+    """The rows of `docs`, with all their columns, each as often as the mix takes it. Rows without words are not taken."""
+    rows = _mixed(docs, weights, share, most, seed).filter("size > 0")
+    # rows alike in id and text share their copies evenly
+    per_key = rows.groupBy(F.xxhash64("doc_id", "tie").alias("key")).agg(F.sum("copies").alias("copies"), F.count("*").alias("alike"))
+    keyed = docs.withColumn("key", F.xxhash64("doc_id", F.xxhash64("text"))).join(per_key, "key")
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("source"))
+    own = F.floor(F.col("copies") / F.col("alike")) + F.when(nth <= F.col("copies") % F.col("alike"), 1).otherwise(0)
+    many = keyed.withColumn("times", own).filter("times > 0")
+    return many.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(*docs.columns)

@@ -215,24 +215,17 @@ def verified_links(members: DataFrame, t: Threshold, label: str) -> DataFrame:
     return rows.groupBy("family", "a", "b").applyInPandas(meet, "u long, v long")
 
 
-def jaccard_components(docs: DataFrame, words: int, num: int, den: int, label: str = "ngram-join") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of `docs` (doc_id, text; other columns are left out).
-
-    Two documents link when the Jaccard similarity of their sets of shingles of `words` words is num / den or more;
-    component_id is the smallest doc_id that links reach. Texts that are null or have no word link with nothing. Rows that
-    share a doc_id are one document. A row without a doc_id takes part; its component_id is null if no row with an
-    id is reached. An empty table gives no rows.
-    """
-    t = Threshold(num, den)
-    texts = docs.select("doc_id", "text")
+def _components_of_rows(docs: DataFrame, words: int, t: Threshold, label: str) -> DataFrame:
+    """doc_id, key (hash of id and text), n, number and root (numbers of the document and of its component) of every row."""
+    texts = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
 
     def classes(batches):
         for batch in batches:
-            rows = [(len(s), *set_hash(s)) for s in word_sets(batch.column(1), words)]
-            n, h1, h2 = (np.array(x, np.int64) for x in zip(*rows, strict=True)) if rows else (np.zeros(0, np.int64),) * 3
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(h1), pa.array(h2)], names=["doc_id", "n", "h1", "h2"])
+            rows = np.array([(len(s), *set_hash(s)) for s in word_sets(batch.column(1), words)], np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), *(pa.array(rows[:, i].copy()) for i in range(3))], names=["doc_id", "key", "n", "h1", "h2"])
 
-    per_doc = written(texts.mapInArrow(classes, "doc_id long, n long, h1 long, h2 long"), f"{label}-documents")
+    per_doc = written(texts.mapInArrow(classes, "doc_id long, key long, n long, h1 long, h2 long"), f"{label}-documents")
     # a number for every row: its id, or one that no id has
     number = F.coalesce("doc_id", F.col("h1").bitwiseAND(_NO_ID - 1) + F.lit(_NO_ID))
     per_doc = per_doc.withColumn("number", number)
@@ -241,25 +234,48 @@ def jaccard_components(docs: DataFrame, words: int, num: int, den: int, label: s
     found = families(texts, lambda batch: word_sets(batch.column(1), words), t, label)
     members = reps.join(found, reps.h1 == found.node).select("family", "rep", "n")
     placed = written(blocks(members), f"{label}-blocks")
-    keyed = texts.withColumn("rep", F.col("doc_id")).filter("rep IS NOT NULL")
-    # texts without an id are few or many, but all of them are looked through for the sets that they stand for
-    unnamed = texts.filter("doc_id IS NULL").withColumn("rep", F.lit(None).cast("long"))
 
     def tokens(batches):
         for batch in batches:
-            sets = list(word_sets(batch.column(0), words))
-            reps_ = [r if r is not None else (set_hash(s)[0] & (_NO_ID - 1)) + _NO_ID for r, s in zip(batch.column(1).to_pylist(), sets, strict=True)]
+            sets = list(word_sets(batch.column(1), words))
+            own = [r if r is not None else (set_hash(s)[0] & (_NO_ID - 1)) + _NO_ID
+                   for r, s in zip(batch.column(0).to_pylist(), sets, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(reps_, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                [pa.array(own, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=["rep", "n", "tokens"])
 
-    wanted = placed.select("rep").distinct()
-    chosen = keyed.join(wanted, "rep").select("text", "rep").unionByName(unnamed.select("text", "rep"))
+    wanted = placed.select(F.col("rep").alias("doc_id")).distinct()
+    named = texts.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
+    chosen = named.unionByName(texts.filter("doc_id IS NULL").select("doc_id", "text"))
     with_tokens = chosen.mapInArrow(tokens, "rep long, n long, tokens binary")
     links = verified_links(placed.join(with_tokens, ["rep", "n"]).select("family", "block", "rep", "n", "tokens"), t, label)
-    # rows of one id and equal sets are links, too
-    same = filled.join(reps.withColumnRenamed("rep", "low"), ["h1", "h2", "n"]).filter("number <> low").select(F.col("number").alias("u"), F.col("low").alias("v"))
+    # copies, and rows that share an id
+    low = reps.select("h1", "h2", F.col("rep").alias("v"))
+    same = filled.join(low, ["h1", "h2"]).filter("number <> v").select(F.col("number").alias("u"), "v")
     roots = components(links.unionByName(same), f"{label}-links")
-    out = per_doc.join(roots, per_doc.number == roots.node, "left")
-    top = F.coalesce("root", "number")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(top < _NO_ID, top).alias("component_id"))
+    joined = per_doc.join(roots, per_doc.number == roots.node, "left")
+    return joined.select("doc_id", "key", "n", "number", F.coalesce("root", "number").alias("root"))
+
+
+def jaccard_components(docs: DataFrame, words: int, num: int, den: int, label: str = "ngram-join") -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of `docs` (doc_id, text; other columns are left out).
+
+    Two documents link when the Jaccard similarity of their sets of shingles of `words` words is num / den or more;
+    component_id is the smallest doc_id that links reach. Texts that are null or have no word link with nothing. Rows that
+    share a doc_id are one document. A row without a doc_id takes part; its component_id is null if no row with an
+    id is reached. An empty table gives no rows.
+    """
+    rows = _components_of_rows(docs, words, Threshold(num, den), label)
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("root") < _NO_ID, F.col("root")).alias("component_id"))
+
+
+def one_per_component(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, label: str = "near-copies") -> DataFrame:
+    """The rows of `docs`, with all their columns, that stay when each component keeps its smallest doc_id.
+
+    Of rows that share that id one stays. Texts without a word stay, one per doc_id; those without an id are one document.
+    """
+    rows = _components_of_rows(docs, words, Threshold(num, den), label)
+    kept = rows.groupBy("root").agg(F.min(F.struct("number", "key")).alias("first")).select(F.col("first.key").alias("key"))
+    keyed = docs.withColumn("key", F.xxhash64("doc_id", "text")).join(kept, "key", "left_semi")
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("doc_id"))
+    return keyed.withColumn("nth", nth).filter("nth = 1").select(*docs.columns)
