@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from levyline.llm import chat, decontaminate, langid, mixing, ngram_join, tokenfiles, urls
+from levyline.llm import chat, decontaminate, langid, line_dedup, mixing, ngram_join, permutation_index, secrets, tokenfiles, urls
 from levyline.session import work_folder
 
 
@@ -28,6 +28,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's host, path, rule and verdict."""
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
@@ -55,11 +60,22 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without lines that are like an earlier one, as digests."""
+    rows = line_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_lines", "n_lost", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the place and the number of edits."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every hundredth one."""
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, written, read back and summed up by digests."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -79,11 +95,14 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_secret_scan": op2_secret_scan,
     "op3_url_filter": op3_url_filter,
     "op4_token_planes": op4_token_planes,
     "op5_ngram_join": op5_ngram_join,
     "op6_mixing": op6_mixing,
+    "op7_line_dedup": op7_line_dedup,
     "op8_decontaminate": op8_decontaminate,
+    "op9_nearest": op9_nearest,
     "op10_chat_format": op10_chat_format,
 }
 ORACLES: dict[str, str] = {}
