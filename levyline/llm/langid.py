@@ -45,24 +45,26 @@ def _letter_table() -> np.ndarray:
 _tables: dict[str, np.ndarray] = {}
 
 
-def letters_of(text: str) -> np.ndarray:
-    """Code points of the letters with one 0 before, after and between words; empty without a letter."""
+def code_pieces(text: str) -> Iterator[np.ndarray]:
+    """Code points of the letters with one 0 before, after and between words, in parts that overlap by two."""
     if "letters" not in _tables:
         _tables["letters"] = _letter_table()
-    codes = _tables["letters"][np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
-    kept = codes > 0
-    if not kept.any():
-        return np.zeros(0, np.uint32)
-    kept[1:] |= codes[:-1] > 0  # the first of each run of others stays
-    out = codes[kept]
-    out = out if out[0] == 0 else np.concatenate([np.zeros(1, np.uint32), out])
-    return out if out[-1] == 0 else np.concatenate([out, np.zeros(1, np.uint32)])
-
-
-def trigrams(text: str) -> np.ndarray:
+    tail = np.zeros(1, np.uint32)
+    for start in range(0, len(text), PIECE):
+        codes = _tables["letters"][np.frombuffer(text[start:start + PIECE].encode("utf-32-le", "replace"), np.uint32)]
+        kept = codes > 0
+        kept[1:] |= codes[:-1] > 0  # the first of each run of others stays
+        kept[0] |= tail[-1] > 0
+        tail = np.concatenate([tail[-2:], codes[kept]])
+        yield tail
+    if tail[-1]:
+        yield np.append(tail[-2:], np.uint32(0))
+
+
+def trigrams(codes: np.ndarray) -> np.ndarray:
     """Every trigram as a number of three code points."""
-    codes = letters_of(text).astype(np.uint64)
-    return (codes[:-2] << np.uint64(42)) | (codes[1:-1] << _SHIFT) | codes[2:]
+    wide = codes.astype(np.uint64)
+    return (wide[:-2] << np.uint64(42)) | (wide[1:-1] << _SHIFT) | wide[2:]
 
 
 def letter_vectors(codes: np.ndarray) -> np.ndarray:
@@ -105,7 +107,7 @@ def bundles(texts: list[str | None]) -> np.ndarray:
         held = 0
 
     for i, text in enumerate(texts):
-        for piece in _pieces(text or ""):
+        for piece in code_pieces(text or ""):
             found = trigrams(piece)
             if len(found):
                 owners.append((i, len(found)))
@@ -117,17 +119,6 @@ def bundles(texts: list[str | None]) -> np.ndarray:
     return out
 
 
-def _pieces(text: str) -> Iterator[str]:
-    """A text in parts that are bundled one after the other; cut between words where there is a space."""
-    start = 0
-    while len(text) - start > PIECE:
-        cut = text.rfind(" ", start + PIECE // 2, start + PIECE)
-        stop = cut if cut > 0 else start + PIECE
-        yield text[start:stop]
-        start = stop
-    yield text[start:]
-
-
 @dataclass(frozen=True)
 class Profiles:
     languages: list[str]
