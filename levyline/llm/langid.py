@@ -23,10 +23,10 @@ from levyline.session import written
 DIMS = 1024
 SAMPLE = 1500  # documented bound: labelled rows per language that the profiles are made of
 LANGUAGES = 1024  # documented bound: the languages with the most labelled rows are learned
-PIECE = 1_000_000  # characters bundled at once
+PIECE = 1_000_000  # characters of a text looked at together
+BATCH = 400_000  # characters bundled together
 UNKNOWN = "und"
 _SEED = 20
-_SHIFT = np.uint64(21)  # a code point has 21 bits
 
 
 def _letter_table() -> np.ndarray:
@@ -61,10 +61,26 @@ def code_pieces(text: str) -> Iterator[np.ndarray]:
         yield np.append(tail[-2:], np.uint32(0))
 
 
-def trigrams(codes: np.ndarray) -> np.ndarray:
-    """Every trigram as a number of three code points."""
-    wide = codes.astype(np.uint64)
-    return (wide[:-2] << np.uint64(42)) | (wide[1:-1] << _SHIFT) | wide[2:]
+def distinct_trigrams(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct trigrams of consecutive codes as rows of three code points, and the number of each place's trigram.
+
+    Letters are numbered first, so that a table over all possible trigrams finds the distinct ones; where so
+    many letters occur that the table would be large, they are found by sorting.
+    """
+    letters = np.flatnonzero(np.bincount(codes))
+    k = len(letters)
+    number = np.zeros(int(letters[-1]) + 1, np.int64)
+    number[letters] = np.arange(k)
+    n = number[codes]
+    grams = (n[:-2] * k + n[1:-1]) * k + n[2:]
+    if k**3 <= 2**22:
+        names = np.flatnonzero(np.bincount(grams, minlength=k**3))
+        table = np.zeros(k**3, np.int32)
+        table[names] = np.arange(len(names))
+        at = table[grams]
+    else:
+        names, at = np.unique(grams, return_inverse=True)
+    return letters[np.stack([names // (k * k), names // k % k, names % k], axis=1)], at
 
 
 def letter_vectors(codes: np.ndarray) -> np.ndarray:
@@ -77,43 +93,42 @@ def letter_vectors(codes: np.ndarray) -> np.ndarray:
 
 
 def bound_vectors(grams: np.ndarray) -> np.ndarray:
-    """The vectors of distinct trigrams."""
-    places = [grams >> np.uint64(42), (grams >> _SHIFT) & np.uint64(0x1FFFFF), grams & np.uint64(0x1FFFFF)]
-    letters = np.unique(np.concatenate(places))
-    vectors = letter_vectors(letters)
-    out = np.roll(vectors, 2, axis=1)[np.searchsorted(letters, places[0])]
-    out *= np.roll(vectors, 1, axis=1)[np.searchsorted(letters, places[1])]
-    out *= vectors[np.searchsorted(letters, places[2])]
+    """The vectors of trigrams, rows of three code points."""
+    letters = np.unique(grams)
+    vectors, at = letter_vectors(letters), np.searchsorted(letters, grams)
+    out = np.roll(vectors, 2, axis=1)[at[:, 0]]
+    out *= np.roll(vectors, 1, axis=1)[at[:, 1]]
+    out *= vectors[at[:, 2]]
     return out
 
 
 def bundles(texts: list[str | None]) -> np.ndarray:
     """The bundled vector of every text, a row each; a text without letters is all zero."""
     out = np.zeros((len(texts), DIMS), np.float32)
-    owners, grams = [], []
-    held = 0
+    owners, pieces, held = [], [], 0
 
     def add() -> None:
         nonlocal held
         if held:
-            names, at = np.unique(np.concatenate(grams), return_inverse=True)
-            owner = np.repeat([i for i, _ in owners], [n for _, n in owners])
-            first = owner[0]
-            counts = np.bincount((owner - first) * len(names) + at, minlength=(owner[-1] - first + 1) * len(names))
-            vectors = bound_vectors(names)
-            out[first:owner[-1] + 1] += counts.reshape(-1, len(names)).astype(np.float32) @ vectors
+            grams, at = distinct_trigrams(np.concatenate(pieces))
+            ends = np.cumsum([len(p) for p in pieces])
+            whole = np.ones(len(at), bool)  # not across two pieces
+            whole[ends[:-1] - 2] = whole[ends[:-1] - 1] = False
+            first = owners[0]
+            owner = np.repeat(np.array(owners) - first, [len(p) for p in pieces])[:-2]
+            counts = np.bincount(owner[whole] * len(grams) + at[whole], minlength=(owners[-1] - first + 1) * len(grams))
+            out[first:owners[-1] + 1] += counts.reshape(-1, len(grams)).astype(np.float32) @ bound_vectors(grams)
         owners.clear()
-        grams.clear()
+        pieces.clear()
         held = 0
 
     for i, text in enumerate(texts):
         for piece in code_pieces(text or ""):
-            found = trigrams(piece)
-            if len(found):
-                owners.append((i, len(found)))
-                grams.append(found)
-                held += len(found)
-            if held >= PIECE or len(owners) >= 256:
+            if len(piece) > 2:
+                owners.append(i)
+                pieces.append(piece)
+                held += len(piece)
+            if held >= BATCH:
                 add()
     add()
     return out
