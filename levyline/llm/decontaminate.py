@@ -29,7 +29,7 @@ SEGMENT, STEP = 120, 60
 EDIT_SHARE = 0.1
 BLOCK_SEGMENTS = 50_000  # segments searched for in one pass, the bound of what is broadcast
 EXPAND = 2_000_000  # q-gram matches looked at together
-_FILTER_BITS = 22
+_FILTER_BITS = 20
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _WORD_BYTE = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
 
@@ -53,10 +53,7 @@ def qgrams(data: np.ndarray) -> np.ndarray:
     """The number made of the Q bytes from every place on."""
     if len(data) < Q:
         return np.zeros(0, np.uint64)
-    x = data.astype(np.uint64)
-    for width in (1, 2, 4):
-        x = x[:-width] | (x[width:] << np.uint64(8 * width))
-    return x
+    return np.ndarray((len(data) - Q + 1,), "<u8", np.ascontiguousarray(data), 0, (1,)).copy()
 
 
 def segments_of(text: str | None) -> list[bytes]:
@@ -105,25 +102,43 @@ class Index:
 
     def bands(self, at: np.ndarray, number: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(segment, lowest diagonal, q-grams) of the bands of one document that reach the bound."""
+        parts = list(_bounded(at, number, self.count))
+        # a segment that shares too few q-grams with the whole document has no band that reaches its bound
+        total = np.zeros(len(self.segments), np.int64)
+        for _, n in parts:
+            total += np.bincount(self.owner[self._slots(n)], minlength=len(total))
+        enough = total >= self.needed
+        if not enough.any():
+            return
         codes = []
-        for a, n in _bounded(at, number, self.count):
-            reps = self.count[n]
-            slot = np.repeat(self.first[n] - np.concatenate([[0], np.cumsum(reps)[:-1]]), reps) + np.arange(reps.sum())
-            owner, place = self.owner[slot], self.place[slot]
-            diagonal = np.repeat(a, reps) - place
-            step = 2 * self.edits[owner] + 1
-            band = (diagonal + SEGMENT) // step  # no place is so far left that this is negative
+        for a, n in parts:
+            slots = self._slots(n)
+            owner = self.owner[slots]
+            stay = enough[owner]
+            owner, place = owner[stay], self.place[slots[stay]]
+            diagonal = np.repeat(a, self.count[n])[stay] - place
+            band = (diagonal + SEGMENT) // (2 * self.edits[owner] + 1)  # no place is so far left that this is negative
             for b in (band, band - 1):
-                codes.append(np.unique(((b + 1) * len(self.segments) + owner) * SEGMENT + place))
-        if not codes:
-            return
-        band, counts = np.unique(np.unique(np.concatenate(codes)) // SEGMENT, return_counts=True)
+                codes.append(_distinct(((b + 1) * len(self.segments) + owner) * SEGMENT + place))
+        every = _distinct(np.concatenate(codes)) // SEGMENT
+        first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        band, counts = every[first], np.diff(np.append(first, len(every)))
         owner = band % len(self.segments)
         for i in np.flatnonzero(counts >= self.needed[owner]):
             o = int(owner[i])
             low = (int(band[i]) // len(self.segments) - 1) * (2 * int(self.edits[o]) + 1) - SEGMENT
             yield o, low, int(counts[i])
 
+    def _slots(self, number: np.ndarray) -> np.ndarray:
+        """Every place in a segment that the q-grams of these numbers have."""
+        reps = self.count[number]
+        return np.repeat(self.first[number] - np.concatenate([[0], np.cumsum(reps)[:-1]]), reps) + np.arange(reps.sum())
+
+
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    numbers = np.sort(numbers)
+    return numbers[np.concatenate([[True], numbers[1:] != numbers[:-1]])] if len(numbers) else numbers
+
 
 def _bounded(at: np.ndarray, number: np.ndarray, count: np.ndarray):
     """Parts of the matches that stand for at most EXPAND places in segments."""

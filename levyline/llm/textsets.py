@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2_000_000  # text handled at once; a longer document is handled alone
+SLICE_BYTES = 250_000  # text handled at once, so that its arrays stay in the cache; a longer document is handled alone
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
