@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from levyline.llm.textsets import text_slices
+from levyline.llm.textsets import small_batches, text_slices
 from levyline.session import written
 
 Q = 8  # eight bytes are one 64-bit number
@@ -236,6 +236,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs: doc_id, text; benchmark: item_id, text; other columns are left out. start and end are code points of the
     lower-cased text. Null and empty texts hold nothing. Rows that share a doc_id are searched each, and equal rows of the result are one.
     """
+    small_batches(docs)
     out = None
     for index, names in _passes(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast((index, names))
@@ -258,6 +259,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs`, with all their columns, that hold no benchmark item."""
+    small_batches(docs)
     place = docs.columns.index("text")
     for index, _ in _passes(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(index)

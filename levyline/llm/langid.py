@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from levyline.llm.textsets import mix, small_batches
 from levyline.session import written
 
 DIMS = 1024
@@ -85,8 +86,6 @@ def distinct_trigrams(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def letter_vectors(codes: np.ndarray) -> np.ndarray:
     """The random vectors of code points, the same in every process: signs are bits of mixed counters."""
-    from levyline.llm.textsets import mix
-
     words = mix(codes.astype(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15) + np.arange(DIMS // 64, dtype=np.uint64) + np.uint64(_SEED))
     bits = np.unpackbits(words.view(np.uint8).reshape(len(codes), -1), axis=1)
     return (bits.astype(np.float32) * 2 - 1)
@@ -146,6 +145,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, label: str = "profiles") -> P
     Null languages and null texts are left out. Ties of a hash go by id. At most LANGUAGES languages are learned, those with the most
     rows (ties by name), so the profiles have a bounded size.
     """
+    small_batches(labelled)
     known = labelled.select("id", "lang", "text").filter("lang IS NOT NULL AND text IS NOT NULL")
     common = [r[0] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
@@ -198,6 +198,7 @@ def predict(texts: DataFrame, profiles: Profiles) -> DataFrame:
     A text that is null or has no letter, or any text if nothing was learned, is `und` with score 0. Ties go to the first
     language by name.
     """
+    small_batches(texts)
     kept = [c for c in texts.columns if c != "text"]
     rows = texts.select(*kept, "text")
 

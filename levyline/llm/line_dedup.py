@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from levyline.llm.components import components
 from levyline.llm.ngram_join import Threshold, blocks, verified_links
-from levyline.llm.textsets import mix, text_slices
+from levyline.llm.textsets import mix, small_batches, text_slices
 from levyline.session import written
 
 Q = 5
@@ -159,6 +159,7 @@ def dropped_lines(docs: DataFrame, label: str = "lines") -> DataFrame:
 
     Documents without such lines do not occur. The first line of a component is the least by doc_id (null last), key and number.
     """
+    small_batches(docs)
     texts = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key")).filter("text IS NOT NULL")
     found = texts.select("text", "key").mapInArrow(_lines, "key long, line long, h1 long, h2 long, n long, bands array<long>")
     lines = written(found, f"{label}-all")

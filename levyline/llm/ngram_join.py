@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from levyline.llm.components import components
-from levyline.llm.textsets import mix, set_hash, word_sets
+from levyline.llm.textsets import mix, set_hash, small_batches, word_sets
 from levyline.session import written
 
 DIMS = 64
@@ -217,6 +217,7 @@ def verified_links(members: DataFrame, t: Threshold, label: str) -> DataFrame:
 
 def _components_of_rows(docs: DataFrame, words: int, t: Threshold, label: str) -> DataFrame:
     """doc_id, key (hash of id and text), n, number and root (numbers of the document and of its component) of every row."""
+    small_batches(docs)
     texts = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
 
     def classes(batches):

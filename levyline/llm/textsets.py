@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 250_000  # text handled at once, so that its arrays stay in the cache; a longer document is handled alone
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -17,6 +18,14 @@ _R_INVERSE = np.uint64(pow(int(_R), -1, 2**64))
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
+BATCH_ROWS = 500  # texts that a Python worker receives at once
+
+
+def small_batches(docs: DataFrame) -> None:
+    """Bounds the Arrow batches of the session: ten thousand texts, Spark's default, can be any number of megabytes."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

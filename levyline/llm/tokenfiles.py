@@ -26,11 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from levyline.llm.textsets import small_batches
 from levyline.session import work_folder, written
 
 MAGIC = b"BPLANES1"
 BLOCK = 65_536
-MEMO = 400_000  # units of text that a Python worker remembers; further ones are encoded each time
+# What a Python worker remembers of units and of words; further ones are encoded each time.
+UNITS, PIECES = 250_000, 100_000
 END_ID = 2
 # The word pattern of byte-level BPE, a fixed value of the vocabulary file's pre-tokenizer.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -70,13 +72,13 @@ class Encoder(dict):
     def _piece(self, piece: str) -> bytes:
         letters = piece.encode("utf-8").decode("latin-1").translate(self.letters)
         ids = np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
-        if len(self.pieces) < MEMO:
+        if len(self.pieces) < PIECES:
             self.pieces[piece] = ids
         return ids
 
     def __missing__(self, unit: str) -> bytes:
         ids = self._ids(" " + unit)
-        if len(self) < MEMO and len(unit) < 64:
+        if len(self) < UNITS and len(unit) < 64:
             self[unit] = ids
         return ids
 
@@ -157,6 +159,7 @@ def write_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int = END
     Null ids come first, equal ids by a hash of their text, a null text is empty. An empty table gives no files.
     """
     end = np.array([end_id], "<u4").tobytes()
+    small_batches(docs)
     tie = F.xxhash64("text")
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
 
