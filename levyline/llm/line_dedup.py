@@ -18,12 +18,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from levyline.llm.components import components
+from levyline.llm.decontaminate import qgrams
 from levyline.llm.ngram_join import Threshold, blocks, verified_links
 from levyline.llm.textsets import mix, small_batches, text_slices
 from levyline.session import written
 
-Q = 5
-BINS, ROWS, BANDS = 32, 3, 10  # a pair at 0.8 shares a band with a chance of 0.999
+Q = 8
+BINS, ROWS, BANDS = 32, 4, 8  # a pair at 0.8 shares a band with a chance of 0.985, one at 0.9 with 0.9999
 SIMILAR = Threshold(80, 100)
 _BITS = 44  # of a shingle's hash next to the number of its line
 _LOW = np.uint64(2**_BITS - 1)
@@ -59,10 +60,8 @@ def line_shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     if not len(text):
         return per_doc, np.zeros(0, np.int64), np.zeros(0, np.uint64)
     wide = text.astype(np.uint64)
-    grams = np.zeros(max(0, len(text) - Q + 1), np.uint64)
-    for j in range(Q if len(grams) else 0):
-        grams |= wide[j:j + len(grams)] << np.uint64(8 * j)
-    whole = line[:len(grams)] == line[Q - 1:]
+    grams = qgrams(text)
+    whole = line[:len(grams)] == line[Q - 1:] if len(grams) else np.zeros(0, bool)
     grams, owner = grams[whole], line[:len(whole)][whole]
     # a shorter line is one shingle
     first = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
@@ -136,22 +135,19 @@ def _lines(batches) -> Iterator[pa.RecordBatch]:
                 names=["key", "line", "h1", "h2", "n", "bands"])
 
 
-def _tokens(batches) -> Iterator[pa.RecordBatch]:
-    """(family, block, rep, n, tokens) of the wanted lines of each text."""
+def _wanted_lines(batches) -> Iterator[pa.RecordBatch]:
+    """(family, block, rep, n, tokens) of the wanted lines of each text, as they stand there."""
     for batch in batches:
-        wanted = batch.column(1).to_pylist()
-        for first, last, data, offsets in text_slices(batch.column(0)):
-            per_doc, owner, hashes = line_shingles(data, offsets)
-            order = np.argsort(owner, kind="stable")
-            owner, hashes = owner[order], hashes[order]
-            rows = [(w["family"], w["block"], w["rep"], w["n"], int(per_doc[i] + w["line"])) for i, ws in enumerate(wanted[first:last]) for w in ws]
-            if not rows:
-                continue
-            names = ["family", "block", "rep", "n"]
-            columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(4)]
-            a, b = (np.searchsorted(owner, [r[4] for r in rows], side) for side in ("left", "right"))
-            sets = [np.unique(hashes[x:y]).tobytes() for x, y in zip(a, b, strict=True)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.binary())], names=[*names, "tokens"])
+        rows = []
+        for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            lines = text.split("\n")
+            rows += [(w["family"], w["block"], w["rep"], w["n"], lines[w["line"]].encode()) for w in wanted]
+        numbers = [pa.array([r[i] for r in rows], pa.int64()) for i in range(4)]
+        yield pa.RecordBatch.from_arrays([*numbers, pa.array([r[4] for r in rows], pa.binary())], names=["family", "block", "rep", "n", "tokens"])
+
+
+def _line_set(line: bytes) -> np.ndarray:
+    return np.unique(line_shingles(np.frombuffer(line, np.uint8), np.array([0, len(line)]))[2])
 
 
 def dropped_lines(docs: DataFrame, label: str = "lines") -> DataFrame:
@@ -172,8 +168,8 @@ def dropped_lines(docs: DataFrame, label: str = "lines") -> DataFrame:
     members = one.join(near, one.h1 == near.node).select("family", F.col("h1").alias("rep"), "n", "at.key", "at.line")
     placed = blocks(members)
     wanted = placed.groupBy("key").agg(F.collect_list(F.struct("family", "block", "rep", "n", "line")).alias("wanted"))
-    rows = texts.join(wanted, "key").select("text", "wanted").mapInArrow(_tokens, "family long, block long, rep long, n long, tokens binary")
-    links = verified_links(rows, SIMILAR, label)
+    rows = texts.join(wanted, "key").select("text", "wanted").mapInArrow(_wanted_lines, "family long, block long, rep long, n long, tokens binary")
+    links = verified_links(rows, SIMILAR, label, _line_set)
     roots = components(links, f"{label}-links")
     ids = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key")).distinct()
     ranked = lines.select("key", "line", "h1").join(ids, "key").join(roots, F.col("h1") == roots.node, "left")

@@ -196,8 +196,12 @@ def linked_pairs(sets: list[np.ndarray], side: np.ndarray, same: bool, t: Thresh
     return out
 
 
-def verified_links(members: DataFrame, t: Threshold, label: str) -> DataFrame:
-    """Links (u, v) between members (family, rep, n, tokens as binary, block) that hold exactly."""
+def _as_set(tokens: bytes) -> np.ndarray:
+    return np.frombuffer(tokens, np.uint64)
+
+
+def verified_links(members: DataFrame, t: Threshold, label: str, decode: Callable[[bytes], np.ndarray] = _as_set) -> DataFrame:
+    """Links (u, v) between members (family, rep, n, tokens, block) that hold exactly; `decode` makes a set of tokens, a binary."""
     members = written(members, f"{label}-members")
     pairs = meeting_blocks(members, t)
     sides = F.array_distinct(F.array(F.struct(F.col("a").alias("block"), F.lit(0).alias("side")),
@@ -207,7 +211,7 @@ def verified_links(members: DataFrame, t: Threshold, label: str) -> DataFrame:
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates(["side", "rep", "tokens"])
-        sets = [np.frombuffer(x, np.uint64) for x in group["tokens"]]
+        sets = [decode(x) for x in group["tokens"]]
         found = linked_pairs(sets, group["side"].to_numpy(), bool(group["a"].iloc[0] == group["b"].iloc[0]), t)
         rep = group["rep"].to_numpy()
         return pd.DataFrame({"u": [rep[i] for i, _ in found], "v": [rep[j] for _, j in found]}, dtype="int64")

@@ -387,7 +387,7 @@ def line_key(line):
 
 def line_set(line):
     data = line_key(line)
-    return {data[i:i + 5] for i in range(len(data) - 4)} if len(data) >= 5 else ({data} if data else set())
+    return {data[i:i + line_dedup.Q] for i in range(len(data) - line_dedup.Q + 1)} if len(data) >= line_dedup.Q else ({data} if data else set())
 
 
 def test_line_dedup_is_brute_force(spark):
@@ -408,8 +408,6 @@ def test_line_dedup_is_brute_force(spark):
             low, high = sorted((label[a], label[b]))
             label = [low if x == high else x for x in label]
     lost = {(x[1], x[2]) for i, x in enumerate(lines) if label[i] != i}
-    for r in got.collect():
-        pass
     want = []
     for i, t in rows:
         kept = None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if (key[i, t], n) not in lost)
