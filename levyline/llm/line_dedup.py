@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from levyline.llm.components import components
 from levyline.llm.decontaminate import qgrams
+from levyline.llm.keyfilter import maybe_among
 from levyline.llm.ngram_join import Threshold, blocks, verified_links
 from levyline.llm.textsets import mix, small_batches, text_slices
 from levyline.session import written
@@ -151,9 +152,9 @@ def _line_set(line: bytes) -> np.ndarray:
 
 
 def dropped_lines(docs: DataFrame, label: str = "lines") -> DataFrame:
-    """key (hash of doc_id and text), n_lines with a shingle, and the numbers (from 0) of the lines that a document loses.
+    """key (hash of doc_id and text) and the numbers (from 0) of the lines that a document loses.
 
-    Documents without such lines do not occur. The first line of a component is the least by doc_id (null last), key and number.
+    Documents without a letter do not occur. The first line of a component is the least by doc_id (null last), key and number.
     """
     small_batches(docs)
     texts = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key")).filter("text IS NOT NULL")
@@ -166,9 +167,10 @@ def dropped_lines(docs: DataFrame, label: str = "lines") -> DataFrame:
     near = near.unionByName(near.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("root", "family")
     one = lines.filter("size(bands) > 0").groupBy("h1", "n").agg(F.min(F.struct("key", "line")).alias("at"))
     members = one.join(near, one.h1 == near.node).select("family", F.col("h1").alias("rep"), "n", "at.key", "at.line")
-    placed = blocks(members)
+    placed = written(blocks(members), f"{label}-blocks")
     wanted = placed.groupBy("key").agg(F.collect_list(F.struct("family", "block", "rep", "n", "line")).alias("wanted"))
-    rows = texts.join(wanted, "key").select("text", "wanted").mapInArrow(_wanted_lines, "family long, block long, rep long, n long, tokens binary")
+    near = texts.filter(maybe_among(placed.select("key"))(F.col("key")))
+    rows = near.join(wanted, "key").select("text", "wanted").mapInArrow(_wanted_lines, "family long, block long, rep long, n long, tokens binary")
     links = verified_links(rows, SIMILAR, label, _line_set)
     roots = components(links, f"{label}-links")
     ids = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key")).distinct()
@@ -177,8 +179,7 @@ def dropped_lines(docs: DataFrame, label: str = "lines") -> DataFrame:
     firsts = ranked.groupBy(F.col("root").alias("f_root")).agg(F.min(F.struct("place", "key", "line")).alias("first"))
     judged = ranked.join(firsts, ranked.root == F.col("f_root"))
     lost = F.struct("place", "key", "line") != F.col("first")
-    return judged.groupBy("key").agg(
-        F.size(F.collect_set("line")).cast("long").alias("n_lines"), F.sort_array(F.collect_set(F.when(lost, F.col("line")))).alias("lost"))
+    return judged.groupBy("key").agg(F.sort_array(F.collect_set(F.when(lost, F.col("line")))).alias("lost"))
 
 
 def without_repeats(docs: DataFrame, label: str = "lines") -> DataFrame:
@@ -187,9 +188,15 @@ def without_repeats(docs: DataFrame, label: str = "lines") -> DataFrame:
     Blank lines stay. A text keeps its other lines in order, and is empty if it loses all. Null texts stay null. Rows alike
     in doc_id and text are one document and lose the same lines.
     """
-    lost = dropped_lines(docs, label).select(F.col("key").alias("l_key"), "n_lines", "lost")
-    rows = docs.withColumn("l_own", F.xxhash64("doc_id", "text")).join(lost, F.col("l_own") == F.col("l_key"), "left")
+    lost = written(dropped_lines(docs, label).filter("size(lost) > 0"), f"{label}-lost")
+    lost = lost.select(F.col("key").alias("l_key"), "lost")
+    own = docs.withColumn("l_own", F.xxhash64("doc_id", "text")).withColumn("l_open", maybe_among(lost.select("l_key"))(F.col("l_own")))
+    # documents that lose nothing need no shuffle
+    whole = own.filter("NOT l_open").withColumn("lost", F.array().cast("array<bigint>"))
+    cut = own.filter("l_open").join(lost, F.col("l_own") == F.col("l_key"), "left").withColumn("lost", F.coalesce("lost", F.array().cast("array<bigint>")))
+    rows = whole.unionByName(cut.drop("l_key"))
     kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("lost", i.cast("bigint")))
     text = F.when(F.size("lost") > 0, F.array_join(kept, "\n")).otherwise(F.col("text"))
-    counts = [F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce(F.size("lost").cast("long"), F.lit(0)).alias("n_lost")]
+    filled = F.filter(F.split("text", "\n", -1), lambda line: F.translate(line, " \t\x0b\x0c\r", "") != "")
+    counts = [F.when(F.col("text").isNull(), 0).otherwise(F.size(filled)).cast("long").alias("n_lines"), F.size("lost").cast("long").alias("n_lost")]
     return rows.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], *counts)

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from levyline.llm.components import components
+from levyline.llm.keyfilter import maybe_among
 from levyline.llm.textsets import mix, set_hash, small_batches, word_sets
 from levyline.session import written
 
@@ -250,7 +251,8 @@ def _components_of_rows(docs: DataFrame, words: int, t: Threshold, label: str) -
                 names=["rep", "n", "tokens"])
 
     wanted = placed.select(F.col("rep").alias("doc_id")).distinct()
-    named = texts.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
+    near = texts.filter("doc_id IS NOT NULL").filter(maybe_among(wanted)(F.col("doc_id")))
+    named = near.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
     chosen = named.unionByName(texts.filter("doc_id IS NULL").select("doc_id", "text"))
     with_tokens = chosen.mapInArrow(tokens, "rep long, n long, tokens binary")
     links = verified_links(placed.join(with_tokens, ["rep", "n"]).select("family", "block", "rep", "n", "tokens"), t, label)
@@ -280,7 +282,15 @@ def one_per_component(docs: DataFrame, words: int = 5, num: int = 80, den: int =
     Of rows that share that id one stays. Texts without a word stay, one per doc_id; those without an id are one document.
     """
     rows = _components_of_rows(docs, words, Threshold(num, den), label)
-    kept = rows.groupBy("root").agg(F.min(F.struct("number", "key")).alias("first")).select(F.col("first.key").alias("key"))
-    keyed = docs.withColumn("key", F.xxhash64("doc_id", "text")).join(kept, "key", "left_semi")
+    rows = written(rows.select("key", "number", "root"), f"{label}-rows")
+    kept = rows.groupBy("root").agg(F.min(F.struct("number", "key")).alias("first"), F.count("*").alias("n"))
+    kept = kept.select("root", F.col("first.key").alias("kept_key"), "n")
+    # documents that share their component with no other row need no decision, and no shuffle
+    shared = rows.join(kept.filter("n > 1"), "root").select("key")
+    among = maybe_among(shared)
+    keyed = docs.withColumn("key", F.xxhash64("doc_id", "text")).withColumn("open", among(F.col("key")))
+    alone = keyed.filter("NOT open").select(*docs.columns)
+    kept_keys = kept.select(F.col("kept_key").alias("key")).distinct()
+    left = keyed.filter("open").join(kept_keys, "key", "left_semi")
     nth = F.row_number().over(Window.partitionBy("key").orderBy("doc_id"))
-    return keyed.withColumn("nth", nth).filter("nth = 1").select(*docs.columns)
+    return alone.unionByName(left.withColumn("nth", nth).filter("nth = 1").select(*docs.columns))
