@@ -215,11 +215,6 @@ BASE["parts"] = f"""
 SELECT file, {line('text', 'Authority')} AS authority, position, {TITLE} AS section, {BODY} AS body
 FROM blocks WHERE position > 0"""
 
-# the last event of the input moves the watermark of a stream to 30 seconds before it
-BASE["final"] = "SELECT max(event_time) - INTERVAL 30 SECONDS AS wm FROM timed"
-BASE["final_both"] = """
-SELECT least((SELECT max(event_time) FROM timed), (SELECT max(p_time) FROM known)) - INTERVAL 30 SECONDS AS wm"""
-
 
 def with_tables(sql: str) -> str:
     """The statement with the derived tables it uses, in dependency order."""
@@ -556,15 +551,14 @@ STATEMENTS = {
         SELECT namespace, coalesce(jobs, 0) AS jobs, coalesce(datasets, 0) AS datasets FROM
           (SELECT namespace, count(DISTINCT job_name) AS jobs FROM run_events GROUP BY 1)
           FULL JOIN (SELECT namespace, count(*) AS datasets FROM sets GROUP BY 1) USING (namespace)""",
-    "stream_kpi": windows("timed", 300, "HAVING w + INTERVAL 300 SECONDS <= (SELECT wm FROM final)"),
+    "stream_kpi": windows("timed", 300),
     "stream_fraud_patterns": """
-        SELECT * FROM high_frequency WHERE CAST(detected_at AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT wm FROM final)
+        SELECT * FROM high_frequency
         UNION ALL SELECT * FROM spikes""",
     "stream_enrich": f"""
         SELECT a.application_id, a.customer_id, coalesce(p.age, 0) AS age,
                CAST(CAST(coalesce(p.risk_score, 0) AS DECIMAL(5,4)) AS DOUBLE) AS risk_score, coalesce(p.avg_income_3yr, 0) AS avg_income_3yr
-        FROM typed a LEFT JOIN known p ON {HOUR}
-        WHERE p.customer_id IS NOT NULL OR a.event_time + INTERVAL 1 HOUR < (SELECT wm FROM final_both)""",
+        FROM typed a LEFT JOIN known p ON {HOUR}""",
     "busiest_province": f"""
         SELECT w AS window_start, province AS busiest_province FROM (
           SELECT w, province, row_number() OVER (PARTITION BY w ORDER BY count(*) DESC, province) AS r
@@ -580,7 +574,7 @@ STATEMENTS = {
     "stream_vector_sync": """
         SELECT application_id, customer_id, taxable_income, employment_type, employment_status, filing_status,
                coalesce(province, 'UNKNOWN') AS province, CAST(0 AS DOUBLE) AS risk_score, is_fraud, '2024-02-01 00:00:00' AS processed_at FROM clean""",
-    "stream_kpi_cache": CACHE.replace("FROM cache_input", "FROM raw_cache WHERE window_end <= (SELECT wm FROM final)"),
+    "stream_kpi_cache": CACHE.replace("FROM cache_input", "FROM raw_cache"),
 }
 BASE["raw_cache"] = BASE["cache_input"].replace("FROM clean", "FROM timed")
 

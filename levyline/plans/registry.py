@@ -345,7 +345,15 @@ def lake_inventory(spark, sf):
 
 @query
 def lake_recent_arrivals(spark, sf):
-    rows, _ = lake.recent_arrivals(spark, _written_lake(spark, sf))
+    """Read in rounds of a third of the files each, until nothing is new."""
+    folder = _written_lake(spark, sf)
+    third = -(-lake.file_inventory(spark, folder).count() // 3)
+    rows, since = lake.recent_arrivals(spark, folder, max_files=third)
+    while True:
+        more, until = lake.recent_arrivals(spark, folder, since, max_files=third)
+        if until == since:
+            break
+        rows, since = rows.unionByName(more), until
     return rows.groupBy("province", "is_fraud").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -754,13 +762,13 @@ def lineage_totals(spark, sf):
 @query
 def stream_kpi(spark, sf):
     own = stream_session(spark)
-    return drain(jobs.kpi_windows(data.stream_of(own, sf, data.FILINGS_SQL)), spark, "stream_kpi")
+    return drain(jobs.kpi_windows(data.stream_of(own, sf, data.FILINGS_SQL, closed=True)), spark, "stream_kpi")
 
 
 @query
 def stream_fraud_patterns(spark, sf):
     own = stream_session(spark)
-    found = jobs.fraud_patterns(data.stream_of(own, sf, data.FILINGS_SQL), DAY_MINUTES)
+    found = jobs.fraud_patterns(data.stream_of(own, sf, data.FILINGS_SQL, closed=True), DAY_MINUTES)
     return drain(found, spark, "stream_fraud_patterns")
 
 
@@ -768,7 +776,7 @@ def stream_fraud_patterns(spark, sf):
 def stream_enrich(spark, sf):
     own = stream_session(spark)
     joined = jobs.enriched_filings(
-        data.stream_of(own, sf, data.FILINGS_SQL), data.stream_of(own, sf, data.PROFILES_SQL)
+        data.stream_of(own, sf, data.FILINGS_SQL, closed=True), data.stream_of(own, sf, data.PROFILES_SQL, closed=True)
     )
     return drain(joined, spark, "stream_enrich").select("application_id", "customer_id", "age", "risk_score", "avg_income_3yr")
 
@@ -860,7 +868,7 @@ def stream_kpi_cache(spark, sf):
         serving.upsert_batch(rows, batch_id, f"{folder}/cache", ["cache_key"], [F.desc("window_start")])
 
     finish(serving.start_upsert(
-        jobs.kpi_windows(data.stream_of(own, sf, data.FILINGS_SQL)), f"{folder}/kpi", f"{folder}/checkpoint",
+        jobs.kpi_windows(data.stream_of(own, sf, data.FILINGS_SQL, closed=True)), f"{folder}/kpi", f"{folder}/checkpoint",
         "stream_kpi_cache", ["window_start"], [F.desc("total_count")], trigger=AVAILABLE_NOW, after=refresh,
     ))
     schema = ", ".join(f"{c} STRING" for c in (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,29 +54,40 @@ def newest_partitions(df: DataFrame, n: int = RECENT_PARTITIONS, partitions: Dat
     return df.where(F.col("dt") >= oldest_kept.scalar())
 
 
-def newest_files(spark: SparkSession, path: str, since: datetime | None = None, max_files: int = 5000) -> DataFrame:
-    """The newest `max_files` files by write time, optionally only those written after `since`."""
+def newest_files(spark: SparkSession, path: str, since: datetime | None = None, max_files: int | None = None) -> DataFrame:
+    """Files by write time, newest first, optionally only those written after `since` or the newest `max_files`."""
     files = file_inventory(spark, path)
     if since is not None:
         files = files.where(F.col("written_at") > F.lit(since))
-    return files.orderBy(F.desc("written_at"), F.desc("path")).limit(max_files)
+    ordered = files.orderBy(F.desc("written_at"), F.desc("path"))
+    return ordered if max_files is None else ordered.limit(max_files)
 
 
-def read_newest_files(
-    spark: SparkSession, path: str, since: datetime | None = None, max_files: int = 5000,
-    fmt: str = "parquet", schema: str = CLEANED,
+def read_arrivals(
+    spark: SparkSession, path: str, since: datetime | None = None, max_files: int | None = None,
+    overlap: timedelta = timedelta(0), fmt: str = "parquet", schema: str = CLEANED,
 ) -> tuple[DataFrame, datetime | None]:
-    """Rows of the newest files and the newest write time, to be passed as `since` next time.
+    """Rows of the files written after `since`, and the write time to pass as `since` next time.
 
-    Only the file names (at most `max_files`) reach the driver; the scan then opens nothing else.
+    With `max_files` the oldest unread files come first, with all of the same write time as the last of them, so nothing is
+    skipped. `overlap` reads files again that were written that long before `since`, for stores that show a file late; the
+    reader then drops rows it has. The scan opens only the files between the two times; no file name reaches the driver.
     """
-    chosen = newest_files(spark, path, since, max_files).select("path", "written_at").collect()
-    if not chosen:
+    new = file_inventory(spark, path)
+    if since is not None:
+        new = new.where(F.col("written_at") > F.lit(since))
+    if max_files is not None:
+        new = new.orderBy("written_at", "path").limit(max_files)
+    until = new.agg(F.max("written_at")).first()[0]
+    if until is None:
         return spark.createDataFrame([], schema), since
-    rows = (
-        spark.read.schema(schema).format(fmt).option("basePath", path).load([row["path"] for row in chosen])
-    )
-    return rows, chosen[0]["written_at"]
+    written_at = F.col("_metadata.file_modification_time")
+    rows = read_lake(spark, path, fmt, schema)
+    columns = rows.columns
+    rows = rows.where(written_at <= F.lit(until))
+    if since is not None:
+        rows = rows.where(written_at > F.lit(since - overlap))
+    return rows.select(*columns), until
 
 
 def scoring_columns(fill_income: bool = True) -> list[Column]:
@@ -95,22 +106,22 @@ def scoring_columns(fill_income: bool = True) -> list[Column]:
 
 
 def recent_arrivals(
-    spark: SparkSession, path: str, since: datetime | None = None, max_files: int = 5000, fmt: str = "parquet"
+    spark: SparkSession, path: str, since: datetime | None = None, max_files: int | None = None,
+    overlap: timedelta = timedelta(0), fmt: str = "parquet",
 ) -> tuple[DataFrame, datetime | None]:
-    rows, newest = read_newest_files(spark, path, since, max_files, fmt)
-    return rows.where(F.col("application_id").isNotNull()).select(*scoring_columns(), "flink_processed_at"), newest
+    rows, until = read_arrivals(spark, path, since, max_files, overlap, fmt)
+    return rows.where(F.col("application_id").isNotNull()).select(*scoring_columns(), "flink_processed_at"), until
 
 
 def ml_dataset(df: DataFrame, n_rows: int | None = 50000) -> DataFrame:
-    """Labelled rows for training; `n_rows` is the caller's sample size, None takes everything."""
+    """Labelled rows for training; of more than `n_rows` those with the lowest hash of their id, None takes everything."""
     rows = df.where(F.col("application_id").isNotNull() & (F.col("taxable_income") >= 0)).select(*scoring_columns())
-    return rows if n_rows is None else rows.limit(n_rows)
+    return rows if n_rows is None else rows.orderBy(F.xxhash64("application_id"), "application_id").limit(n_rows)
 
 
-def ml_dataset_from_lake(spark: SparkSession, path: str, n_rows: int = 50000, fmt: str = "parquet") -> DataFrame:
-    """Training rows from the most recently written files."""
-    rows, _ = read_newest_files(spark, path, None, n_rows, fmt)
-    return ml_dataset(rows, n_rows)
+def ml_dataset_from_lake(spark: SparkSession, path: str, n_rows: int | None = 50000, fmt: str = "parquet") -> DataFrame:
+    """Training rows from the whole lake."""
+    return ml_dataset(read_lake(spark, path, fmt), n_rows)
 
 
 def recent_events(df: DataFrame, n_rows: int = 50, stamp: str = "flink_processed_at") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +44,34 @@ def read_stream(spark: SparkSession, spec: StreamSpec) -> DataFrame:
     raise ValueError(f"unknown stream format {spec.format!r}")
 
 
+END_OF_TOPIC = "9000-01-01T00:00:00"
+
+
+def end_of_topic(stamp: str = "_produced_at") -> str:
+    """The message that says that nothing follows: its time is beyond every other.
+
+    Its own window and its own join row never close, so it is in no result. It has a key of its own, as joins may leave
+    rows without one out before they see their time.
+    """
+    return json.dumps({stamp: END_OF_TOPIC, "customer_id": f"end of topic {uuid.uuid4()}"})
+
+
+def heartbeats(spark: SparkSession, idle: str = "10 seconds", stamp: str = "_produced_at") -> DataFrame:
+    """Messages with nothing but a time, `idle` behind the clock: union them with a topic that may fall silent.
+
+    They move the watermark on while no event comes, so open windows close; `without_heartbeats` takes them out again
+    behind the watermark.
+    """
+    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    at = F.date_format(F.col("timestamp") - F.expr(f"INTERVAL {idle}"), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+    return clock.select(F.to_json(F.struct(at.alias(stamp))).alias("value"))
+
+
+def without_heartbeats(timed: DataFrame, key: str = "application_id") -> DataFrame:
+    """Rows with a key. The condition names the event time, or Spark would move it in front of the watermark."""
+    return timed.where(F.col(key).isNotNull() | F.col("event_time").isNull())
+
+
 def topic_volume(spark: SparkSession, servers: str, topics: list[str]) -> DataFrame:
     """Messages kept per topic, from a batch read of the broker."""
     messages = (

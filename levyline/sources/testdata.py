@@ -8,6 +8,10 @@ that cleaning and the quality gate have work.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from levyline.session import work_folder
+from levyline.sources.streams import StreamSpec, end_of_topic, read_stream
 
 FILINGS_SQL = """
 SELECT concat('APP-', event_id) AS application_id,
@@ -138,13 +142,24 @@ def markdown_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(MARKDOWN_SQL, documents=table(spark, sf_dir, "documents"))
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a file stream (the trailing star lets one file or a folder match)."""
-    path = f"{sf_dir}/events.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path + "*")
+PARTS = 4  # micro-batches of the event stream
+
 
+def stream_of(spark: SparkSession, sf_dir: str, sql: str, closed: bool = False) -> DataFrame:
+    """A stream of JSON texts in a `value` column, as a broker would deliver them: one micro-batch per span of time.
 
-def stream_of(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """A stream of JSON texts in a `value` column, as a broker would deliver them."""
-    rows = spark.sql(sql, events=event_stream(spark, sf_dir))
-    return rows.selectExpr("to_json(struct(*)) AS value")
+    `closed` adds the end-of-topic message, with which windows and outer joins give out what is still open.
+    """
+    events = table(spark, sf_dir, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(at), F.max(at)).first()
+    width = max(1, (last or 0) - (first or 0) + 1)
+    part = F.floor((at - F.lit(first or 0)) * PARTS / width)
+    numbered = events.withColumn("_part", F.coalesce(part, F.lit(0)))
+    folder, files = work_folder(spark, "topic"), max(2, spark.sparkContext.defaultParallelism // 2)
+    for number in range(PARTS):  # one after the other: a file stream reads in order of write time
+        rows = spark.sql(sql, events=numbered.where(F.col("_part") == number).drop("_part"))
+        rows.selectExpr("to_json(struct(*)) AS value").repartition(files).write.text(f"{folder}/part-{number}")
+    if closed:
+        spark.createDataFrame([(end_of_topic(),)], "value STRING").write.text(f"{folder}/part-{PARTS}")
+    return read_stream(spark, StreamSpec("part-*", folder, "text", options={"maxFilesPerTrigger": str(files)}))

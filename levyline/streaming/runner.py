@@ -20,7 +20,7 @@ def finish(query: StreamingQuery) -> None:
 def drain(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     """Run an append stream over all available input into a Parquet folder and read that back.
 
-    Windows and outer-join rows still open at the final watermark are not part of the result.
+    What is open at the final watermark comes out only if the input ends with `end_of_topic`, or by `heartbeats` later on.
     """
     folder = work_folder(spark, name)
     query = (

@@ -1,5 +1,5 @@
 import os
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from conftest import filing, frame
@@ -35,9 +35,19 @@ def test_newest_files_cap_and_since(spark, stored):
     assert days(lake.newest_files(spark, stored, since=minute(8))) == ["09", "10"]
     rows, newest = lake.recent_arrivals(spark, stored, since=minute(99))
     assert rows.count() == 0 and newest == minute(99)
-    rows, newest = lake.recent_arrivals(spark, stored, max_files=2)
-    assert sorted(r["application_id"] for r in rows.collect()) == ["A10", "A9"]
-    assert newest.replace(tzinfo=timezone.utc) == minute(10)
+
+
+def test_capped_reads_take_every_file_once(spark, stored):
+    seen, since = [], None
+    while True:
+        rows, until = lake.recent_arrivals(spark, stored, since, max_files=4)
+        if until == since:
+            break
+        seen.append(sorted(r["application_id"] for r in rows.collect()))
+        since = until
+    assert seen == [["A1", "A2", "A3", "A4"], ["A5", "A6", "A7", "A8"], ["A10", "A9"]]
+    again, _ = lake.recent_arrivals(spark, stored, minute(8), overlap=timedelta(minutes=1))
+    assert sorted(r["application_id"] for r in again.collect()) == ["A10", "A8", "A9"]
 
 
 def test_partitions(spark, stored):

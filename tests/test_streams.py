@@ -2,20 +2,21 @@
 
 import json
 import os
+import time
 import uuid
 
 import pytest
 from conftest import filing, frame
 from pyspark.sql import functions as F
 
-from levyline.operators import clean, lineage, retrieval
+from levyline.operators import clean, kpi, lineage, retrieval
 from levyline.plans import jobs
-from levyline.schemas import CLEANED, FILING, RUN_EVENT
+from levyline.schemas import CLEANED, FILING, RUN_EVENT, WINDOW_FILING
 from levyline.session import stream_session
 from levyline.sinks import lake as lake_sink
 from levyline.sinks import serving, vectors
 from levyline.sources import lake
-from levyline.sources.streams import StreamSpec, read_stream
+from levyline.sources.streams import StreamSpec, end_of_topic, heartbeats, read_stream, without_heartbeats
 from levyline.streaming.runner import AVAILABLE_NOW, LineageListener, drain, dropped_late_rows, finish
 
 
@@ -72,9 +73,30 @@ def test_kpi_stream_equals_batch(spark, filings):
     assert rows(got) == rows(want) and got.count() == 9
 
 
-def test_the_last_windows_stay_open_without_a_later_row(spark, filings):
-    got = drain(jobs.kpi_windows(filings.stream(stream_session(spark))), spark, "kpi_open")
-    assert got.count() == 8
+def test_the_end_of_the_topic_closes_the_last_windows(spark, filings):
+    filings.put(end_of_topic())
+    got = drain(jobs.kpi_windows(filings.stream(stream_session(spark))), spark, "kpi_closed")
+    want = jobs.kpi_windows(filings.batch(spark)).where(F.col("window_start") < "2026-12-01")
+    assert rows(got) == rows(want) and got.count() == 9
+
+
+def test_heartbeats_close_windows_of_a_silent_topic(spark, filings):
+    own = stream_session(spark)
+    messages = filings.stream(own).unionByName(heartbeats(own))
+    timed = without_heartbeats(jobs.filings_from(messages, WINDOW_FILING))
+    query = (
+        kpi.kpi_windows(timed).writeStream.outputMode("append").format("memory").queryName("beating")
+        .option("checkpointLocation", str(filings.folder / "beating")).trigger(processingTime="1 second").start()
+    )
+    try:
+        for _ in range(60):
+            time.sleep(1)
+            if own.table("beating").count() == 9:
+                break
+    finally:
+        query.stop()
+    want = jobs.kpi_windows(filings.batch(spark))
+    assert rows(own.table("beating")) == rows(want)
 
 
 def test_fraud_patterns_equal_batch(spark, filings):
