@@ -81,8 +81,6 @@ def test_infeasible_floor_falls_back_to_f1(scored):
     free = evaluation.pick_threshold(curve, "f1").first()
     stuck = evaluation.pick_threshold(curve, "recall", min_precision=1.01).first()
     assert not stuck["feasible"] and stuck["threshold"] == free["threshold"]
-    assert evaluation.objective_score(stuck.asDict(), 0.9, "recall") == 0.0
-    assert evaluation.objective_score(free.asDict(), 0.9, "average_precision") == 0.9
 
 
 def test_no_scores_give_one_half(spark):
@@ -116,25 +114,45 @@ def test_confusion_cells_and_class_report(scored):
     assert report[1]["precision"] == 0.0 and report[1]["support"] == 4 and report[0]["recall"] == 1.0
 
 
-def test_samples_stay_in_range():
+def test_trial_scores_follow_the_objective(spark):
+    trials = spark.createDataFrame(
+        [("a", 0.2, 0.9, 0.4, 0.7, True), ("b", 0.8, 0.1, 0.3, 0.6, False), ("c", None, None, None, None, None)],
+        "label STRING, cv_precision DOUBLE, cv_recall DOUBLE, cv_f1 DOUBLE, cv_average_precision DOUBLE, feasible BOOLEAN")
+    want = {"f1": [0.4, 0.3, None], "average_precision": [0.7, 0.6, None], "recall": [0.9, 0.0, None], "precision": [0.2, 0.0, None]}
+    for objective, scores in want.items():
+        assert [r["score"] for r in evaluation.with_trial_score(trials, objective).orderBy("label").collect()] == scores
+
+
+def test_ranges_draw_inside_and_reach_their_ends():
     rng = np.random.default_rng(0)
-    for family, space in families.DEFAULT_SPACE.items():
-        for _ in range(200):
-            for name, value in families.sample_params(space, rng).items():
-                spec = space[name]
-                assert value in spec["values"] if spec["type"] == "choice" else spec["low"] <= value <= spec["high"]
-
-
-@pytest.mark.parametrize("space,message", [
-    ({"svm": {}}, "unknown model family"),
-    ({"logistic_regression": {"C": {"type": "float", "low": 2, "high": 1}}}, "low"),
-    ({"logistic_regression": {"C": {"type": "float", "low": 0, "high": 1, "log": True}}}, "log-scale"),
-    ({"logistic_regression": {"C": {"type": "choice", "values": []}}}, "at least one"),
-    ({"logistic_regression": {"C": {"type": "odd"}}}, "unknown type"),
+    assert {families.Ints(3, 5).draw(rng) for _ in range(100)} == {3, 4, 5}
+    assert {families.OneOf(("x", None)).draw(rng) for _ in range(50)} == {"x", None}
+    drawn = [families.Floats(0.001, 10.0, by_ratio=True).draw(rng) for _ in range(400)]
+    assert all(0.001 <= x <= 10 for x in drawn) and 0.3 < np.mean(np.array(drawn) < 0.1) < 0.7
+    assert all(2 <= families.Floats(2, 2.5).draw(rng) <= 2.5 for _ in range(50))
+
+
+@pytest.mark.parametrize("make", [
+    lambda: families.Ints(4, 3), lambda: families.Floats(2.0, 1.0), lambda: families.Floats(0.0, 1.0, by_ratio=True), lambda: families.OneOf(()),
 ])
-def test_bad_spaces_are_named(space, message):
-    with pytest.raises(ValueError, match=message):
-        families.check_space(space)
+def test_empty_ranges_cannot_be_made(make):
+    with pytest.raises(ValueError):
+        make()
+
+
+@pytest.mark.parametrize("family,ranges", [
+    ("svm", {}), ("gradient_boosting", {"l2_regularization": families.Floats(0, 1)}), ("logistic_regression", {"depth": families.Ints(1, 2)}),
+    ("logistic_regression", {"C": 3.0}),
+])
+def test_settings_refuse_what_has_no_effect(family, ranges):
+    with pytest.raises(ValueError, match="unknown model family|effective|range"):
+        families.settings(family, ranges, 1, np.random.default_rng(0))
+
+
+def test_settings_start_with_the_default():
+    found = families.settings("random_forest", {"max_depth": families.Ints(2, 3)}, 3, np.random.default_rng(1))
+    assert [s.label for s in found] == ["default", "trial 1", "trial 2", "trial 3"] and found[0].is_default
+    assert all(s.params["max_depth"] in (2, 3) and s.params["n_estimators"] == 300 for s in found[1:])
 
 
 def test_depth_above_the_limit_is_refused():
@@ -198,7 +216,7 @@ def test_split_is_exact_per_class(labelled):
 
 
 def test_one_failed_trial_does_not_stop_the_search(spark, labelled):
-    space = {"random_forest": {"max_depth": {"type": "int", "low": 31, "high": 40}, "n_estimators": {"type": "int", "low": 3, "high": 3}}}
+    space = {"random_forest": {"max_depth": families.Ints(31, 40), "n_estimators": families.Ints(3, 3)}}
     old = dict(families.DEFAULT_PARAMS["random_forest"])
     families.DEFAULT_PARAMS["random_forest"].update(n_estimators=3, max_depth=4)
     try:
