@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from levyline.functions.text import col
 
-CENTS = "decimal(20,2)"
+CENTS = "decimal(28,6)"  # 22 digits before the point; sums of it are exact, too
 
 
 def money_sum(amount) -> Column:
-    """Exact sum in cents. A double sum would change with the number of tasks."""
+    """Exact sum. A double sum would change with the number of tasks. What is no number counts as missing."""
     return F.sum(col(amount).try_cast(CENTS))
 
 
