@@ -1,16 +1,20 @@
 """Embedding of texts and exact cosine search.
 
-One side of a search is held as a matrix in the tasks, a block of at most `block` rows at a time;
-the other side flows through once per block. Work per pass is linear in the flowing side, no pairs
-leave a task (only the best k do) and memory is bounded by the block, however many rows there are.
+One side of a search is written to the shared folder in files of at most `block` rows; the other flows through
+once, and each task reads the files one at a time. No pairs leave a task (only the best k do), nothing goes
+through the driver, and memory is bounded by the block, however many rows there are.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, Normalizer, Tokenizer
 from pyspark.ml.functions import vector_to_array
@@ -20,9 +24,11 @@ from pyspark.sql import types as T
 
 from levyline.functions.text import uuid5
 from levyline.functions.vectors import letter_profile
+from levyline.session import work_folder
 
 BLOCK = 4096
 SCORE_DIGITS = 6
+SLICE = 512  # queries scored at once against a block
 
 Embedder = Callable[[DataFrame, str, str], DataFrame]
 
@@ -75,32 +81,43 @@ def _units(column: pa.Array) -> np.ndarray:
     return rows / np.where(lengths == 0, 1.0, lengths)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k highest scores, ties by id."""
-    if len(scores) > k:
-        candidates = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
+def _best(scores: np.ndarray, ranks: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, place from 0) of the k highest scores of every row; ties go to the lower rank of the column."""
+    if scores.shape[1] > k:
+        least = np.partition(scores, -k, axis=1)[:, -k]
+        row, column = np.nonzero(scores >= least[:, None])
     else:
-        candidates = np.arange(len(scores))
-    return candidates[np.lexsort((ids[candidates], -scores[candidates]))][:k]
+        row, column = np.indices(scores.shape).reshape(2, -1)
+    order = np.lexsort((ranks[column], -scores[row, column], row))
+    row, column = row[order], column[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    return row[place < k], column[place < k], place[place < k]
 
 
-def _blocks(fixed: DataFrame, id_col: str, vector: str, extra: list[str], block: int):
-    """Arrow tables of the fixed side, each of about `block` rows."""
-    rows = fixed.where(F.col(vector).isNotNull()).select(id_col, F.col(vector).cast("array<double>").alias(vector), *extra)
-    n = rows.count()
-    n_blocks = -(-n // block)
-    for b in range(n_blocks):
-        part = rows if n_blocks == 1 else rows.where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(n_blocks)) == b)
-        yield part.toArrow()
+def _ranks(ids: pa.Array) -> np.ndarray:
+    """Place of every id in their order."""
+    order = pc.sort_indices(ids).to_numpy()
+    ranks = np.empty(len(order), np.int64)
+    ranks[order] = np.arange(len(order))
+    return ranks
 
 
-def _merge(parts: list[DataFrame], query_id: str, match_id: str, k: int) -> DataFrame:
-    """Best k per query of the partial results. The rank filter prunes each task before the shuffle."""
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
-    order = Window.partitionBy(query_id).orderBy(F.desc("similarity"), F.asc(match_id))
-    return merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+def _stored(fixed: DataFrame, id_col: str, vector: str, block: int) -> str:
+    """A shared folder with the fixed side, in files of at most `block` rows. Tasks read it file by file."""
+    folder = work_folder(fixed.sparkSession, "search")
+    rows = fixed.where(F.col(vector).isNotNull()).select(id_col, F.col(vector).cast("array<double>").alias(vector))
+    rows.hint("rebalance").write.option("maxRecordsPerFile", block).parquet(folder)
+    return folder
+
+
+def _blocks(folder: str) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Ids and unit vectors of one stored file after the other."""
+    store, place = fs.FileSystem.from_uri(folder)
+    for found in sorted(store.get_file_info(fs.FileSelector(place)), key=lambda f: f.path):
+        if found.path.endswith(".parquet"):
+            table = pq.read_table(found.path, filesystem=store).combine_chunks()
+            if table.num_rows:
+                yield table.column(0).chunk(0), _units(table.column(1).chunk(0))
 
 
 def search_index(
@@ -120,33 +137,28 @@ def search_index(
         [queries.schema[query_id], index.schema[index_id], T.StructField("similarity", T.DoubleType())]
         + [index.schema[name] for name in payload]
     )
-    parts = []
-    for table in _blocks(queries, query_id, query_vector, [], block):
-        shared = index.sparkSession.sparkContext.broadcast(
-            (table.column(query_id).combine_chunks(), _units(table.column(query_vector).combine_chunks()))
-        )
-
-        def scan(batches, shared=shared):
-            query_ids, matrix = shared.value
-            for batch in batches:
-                if batch.num_rows == 0:
-                    continue
-                scores = np.round(_units(batch.column("_v")) @ matrix.T, SCORE_DIGITS)
-                ids = batch.column(index_id).to_numpy(zero_copy_only=False)
-                picks = [_best(scores[:, q], ids, k) for q in range(len(query_ids))]
-                rows = pa.array(np.concatenate(picks))
-                owner = np.repeat(np.arange(len(query_ids)), [len(p) for p in picks])
-                chosen = batch.take(rows)
-                yield pa.RecordBatch.from_arrays(
-                    [query_ids.take(pa.array(owner)), chosen.column(index_id),
-                     pa.array(scores[np.concatenate(picks), owner])] + [chosen.column(name) for name in payload],
-                    names=[query_id, index_id, "similarity", *payload],
-                )
-
-        parts.append(flowing.mapInArrow(scan, schema))
-    if not parts:
-        return index.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
-    return _merge(parts, query_id, index_id, k)
+    folder = _stored(queries, query_id, query_vector, block)
+
+    def scan(batches):
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            units, ranks = _units(batch.column("_v")), _ranks(batch.column(index_id))
+            for query_ids, matrix in _blocks(folder):
+                for first in range(0, len(matrix), SLICE):
+                    scores = np.round(matrix[first:first + SLICE] @ units.T, SCORE_DIGITS)
+                    row, column, _ = _best(scores, ranks, k)
+                    chosen = batch.take(pa.array(column))
+                    yield pa.RecordBatch.from_arrays(
+                        [query_ids.take(pa.array(row + first)), chosen.column(index_id), pa.array(scores[row, column])]
+                        + [chosen.column(name) for name in payload],
+                        names=[query_id, index_id, "similarity", *payload],
+                    )
+
+    # the rank filter prunes each task before the shuffle
+    order = Window.partitionBy(query_id).orderBy(F.desc("similarity"), F.asc(index_id))
+    found = flowing.mapInArrow(scan, schema)
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def match_queries(
@@ -155,7 +167,7 @@ def match_queries(
 ) -> DataFrame:
     """Best k collection rows per query when the queries are the large side, e.g. a stream of questions.
 
-    With a collection of one block nothing is shuffled: each task ranks its own queries.
+    Nothing is shuffled: each task ranks its own queries over all blocks of the collection.
     """
     flowing = queries.where(F.col(query_vector).isNotNull()).select(
         query_id, F.col(query_vector).cast("array<double>").alias("_v")
@@ -164,36 +176,36 @@ def match_queries(
         queries.schema[query_id], collection.schema[match_id],
         T.StructField("similarity", T.DoubleType()), T.StructField("rank", T.IntegerType()),
     ])
-    parts = []
-    for table in _blocks(collection, match_id, match_vector, [], block):
-        shared = queries.sparkSession.sparkContext.broadcast(
-            (table.column(match_id).combine_chunks(), _units(table.column(match_vector).combine_chunks()))
-        )
-
-        def scan(batches, shared=shared):
-            match_ids, matrix = shared.value
-            ids = match_ids.to_numpy(zero_copy_only=False)
-            for batch in batches:
-                if batch.num_rows == 0:
-                    continue
-                scores = np.round(_units(batch.column("_v")) @ matrix.T, SCORE_DIGITS)
-                picks = [_best(row, ids, k) for row in scores]
-                owner = np.repeat(np.arange(len(picks)), [len(p) for p in picks])
-                flat = np.concatenate(picks)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(query_id).take(pa.array(owner)), match_ids.take(pa.array(flat)),
-                     pa.array(scores[owner, flat]),
-                     pa.array(np.concatenate([np.arange(1, len(p) + 1) for p in picks]), pa.int32())],
-                    names=[query_id, match_id, "similarity", "rank"],
-                )
-
-        parts.append(flowing.mapInArrow(scan, schema))
-    if not parts:
-        found = queries.sparkSession.createDataFrame([], schema)
-    elif len(parts) == 1:
-        found = parts[0]
-    else:
-        found = _merge([part.drop("rank") for part in parts], query_id, match_id, k)
+    folder = _stored(collection, match_id, match_vector, block)
+
+    def scan(batches):
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            units, owners, ids, scores = _units(batch.column("_v")), [], [], []
+            for match_ids, matrix in _blocks(folder):
+                ranks = _ranks(match_ids)
+                for first in range(0, len(units), SLICE):
+                    part = np.round(units[first:first + SLICE] @ matrix.T, SCORE_DIGITS)
+                    row, column, _ = _best(part, ranks, k)
+                    owners.append(row + first)
+                    ids.append(match_ids.take(pa.array(column)))
+                    scores.append(part[row, column])
+            if not owners:
+                continue
+            # the best of all blocks
+            owner, score, every = np.concatenate(owners), np.concatenate(scores), pa.concat_arrays(ids)
+            order = np.lexsort((_ranks(every), -score, owner))
+            owner = owner[order]
+            place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+            kept = order[place < k]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(query_id).take(pa.array(owner[place < k])), every.take(pa.array(kept)), pa.array(score[kept]),
+                 pa.array(place[place < k] + 1, pa.int32())],
+                names=[query_id, match_id, "similarity", "rank"],
+            )
+
+    found = flowing.mapInArrow(scan, schema)
     return found if min_similarity is None else found.where(F.col("similarity") >= min_similarity)
 
 
