@@ -14,13 +14,14 @@ def write_lake(df: DataFrame, path: str, mode: str = "append", fmt: str = "parqu
 
 def start_lake_sink(
     df: DataFrame, path: str, checkpoint: str, name: str, fmt: str = "parquet",
-    trigger: dict | None = None, files_per_day: int = 8, id_col: str = "application_id",
+    trigger: dict | None = None, files_per_day: int | None = None, id_col: str = "application_id",
 ) -> StreamingQuery:
     """Append stream by `dt`, exactly once through the sink's own commit log.
 
-    Rows of a day go to at most `files_per_day` tasks per batch: few files, yet a single busy day
-    does not end in one task.
+    Rows of a day go to at most `files_per_day` tasks per batch, as many as the cluster has cores by default: a
+    backfill of a single day keeps all of them busy. `compact_lake` makes few files of many.
     """
+    files_per_day = files_per_day or max(2, df.sparkSession.sparkContext.defaultParallelism)
     spread = F.pmod(F.xxhash64(F.coalesce(F.col(id_col), F.lit(""))), F.lit(files_per_day))
     return (
         df.repartition(F.col("dt"), spread).writeStream.queryName(name).outputMode("append")
