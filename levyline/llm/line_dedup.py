@@ -197,6 +197,6 @@ def without_repeats(docs: DataFrame, label: str = "lines") -> DataFrame:
     rows = whole.unionByName(cut.drop("l_key"))
     kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("lost", i.cast("bigint")))
     text = F.when(F.size("lost") > 0, F.array_join(kept, "\n")).otherwise(F.col("text"))
-    filled = F.filter(F.split("text", "\n", -1), lambda line: F.translate(line, " \t\x0b\x0c\r", "") != "")
-    counts = [F.when(F.col("text").isNull(), 0).otherwise(F.size(filled)).cast("long").alias("n_lines"), F.size("lost").cast("long").alias("n_lost")]
+    filled = F.regexp_count("text", F.lit(r"[^ \t\x0b\x0c\r\n][^\n]*"))
+    counts = [F.coalesce(filled, F.lit(0)).cast("long").alias("n_lines"), F.size("lost").cast("long").alias("n_lost")]
     return rows.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], *counts)

@@ -21,7 +21,6 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -210,14 +209,40 @@ def verified_links(members: DataFrame, t: Threshold, label: str, decode: Callabl
     places = pairs.withColumn("place", F.explode(sides)).select("family", "a", "b", "place.block", "place.side")
     rows = members.join(places, ["family", "block"]).select("family", "a", "b", "side", "rep", "tokens")
 
-    def meet(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates(["side", "rep", "tokens"])
-        sets = [decode(x) for x in group["tokens"]]
-        found = linked_pairs(sets, group["side"].to_numpy(), bool(group["a"].iloc[0] == group["b"].iloc[0]), t)
-        rep = group["rep"].to_numpy()
-        return pd.DataFrame({"u": [rep[i] for i, _ in found], "v": [rep[j] for _, j in found]}, dtype="int64")
+    # whole cells lie in a task, one after the other; a call per cell would cost more than most cells
+    cells = rows.repartition("family", "a", "b").sortWithinPartitions("family", "a", "b")
 
-    return rows.groupBy("family", "a", "b").applyInPandas(meet, "u long, v long")
+    def meet(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            table = pa.Table.from_batches(held)
+            cuts = _cell_starts(table)
+            if len(cuts) > 1:
+                yield _links_of(table.slice(0, int(cuts[-1])), t, decode)
+                held = table.slice(int(cuts[-1])).to_batches()
+        if held:
+            yield _links_of(pa.Table.from_batches(held), t, decode)
+
+    return cells.mapInArrow(meet, "u long, v long")
+
+
+def _cell_starts(table: pa.Table) -> np.ndarray:
+    keys = np.stack([table.column(c).to_numpy() for c in ("family", "a", "b")])
+    return np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])) if keys.shape[1] else np.zeros(0, int)
+
+
+def _links_of(table: pa.Table, t: Threshold, decode: Callable[[bytes], np.ndarray]) -> pa.RecordBatch:
+    """Links inside every cell of a table of whole cells."""
+    starts, links = _cell_starts(table), []
+    a, b, side, rep = (table.column(c).to_numpy() for c in ("a", "b", "side", "rep"))
+    tokens = table.column("tokens").to_pylist()
+    for first, last in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows], strict=False):
+        rows = list({(side[i], rep[i], tokens[i]): i for i in range(first, last)}.values())
+        found = linked_pairs([decode(tokens[i]) for i in rows], side[rows], bool(a[first] == b[first]), t)
+        links += [(rep[rows[i]], rep[rows[j]]) for i, j in found]
+    pairs = np.array(links, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["u", "v"])
 
 
 def _components_of_rows(docs: DataFrame, words: int, t: Threshold, label: str) -> DataFrame:
