@@ -32,7 +32,7 @@ from levyline.session import written
 
 DIMS = 64
 LEAF = 32
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 4_000_000
 _NO_ID = 2**62  # numbers from here on stand for documents without an id
 
 
