@@ -24,8 +24,8 @@ from levyline.llm.ngram_join import Threshold, blocks, verified_links
 from levyline.llm.textsets import mix, small_batches, text_slices
 from levyline.session import written
 
-Q = 8
-BINS, ROWS, BANDS = 32, 4, 8  # a pair at 0.8 shares a band with a chance of 0.985, one at 0.9 with 0.9999
+Q = 5
+BINS, ROWS, BANDS = 32, 3, 10  # a pair at 0.8 shares a band with a chance of 0.999
 SIMILAR = Threshold(80, 100)
 _BITS = 44  # of a shingle's hash next to the number of its line
 _LOW = np.uint64(2**_BITS - 1)
@@ -61,7 +61,7 @@ def line_shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     if not len(text):
         return per_doc, np.zeros(0, np.int64), np.zeros(0, np.uint64)
     wide = text.astype(np.uint64)
-    grams = qgrams(text)
+    grams = qgrams(np.append(text, np.zeros(8 - Q, np.uint8))) & np.uint64(2 ** (8 * Q) - 1)
     whole = line[:len(grams)] == line[Q - 1:] if len(grams) else np.zeros(0, bool)
     grams, owner = grams[whole], line[:len(whole)][whole]
     # a shorter line is one shingle
