@@ -179,6 +179,29 @@ def test_language_profiles(spark):
     assert {r.doc_id for r in kept.collect()} >= set(range(240)) and not {900, 901, 902} & {r.doc_id for r in kept.collect()}
 
 
+def test_texts_unlike_every_language_go(spark):
+    rng = np.random.default_rng(31)
+
+    def lexicon(letters):
+        weights = 1 / np.arange(1, 301)
+        known = ["".join(rng.choice(list(letters), rng.integers(2, 9))) for _ in range(300)]
+        return lambda n: " ".join(rng.choice(known, n, p=weights / weights.sum()))
+
+    speak = {"aa": lexicon("abcdefghijklm"), "bb": lexicon("hijklmnopqrst"), "cc": lexicon("aeioulmnrstdp"), "dd": lexicon("бвгдежзиклмно")}
+    unlearned, latin = lexicon("abcdefghijklmnopqrstuvwxyz"), list("abcdefghijklmnopqrstuvwxyz")
+    rows = [(i, speak[list(speak)[i % 4]](int(rng.integers(80, 200))), list(speak)[i % 4] if i % 5 else None) for i in range(400)]
+    rows += [(500 + i, " ".join("".join(rng.choice(latin, 6)) for _ in range(100)), None) for i in range(20)]
+    rows += [(600 + i, unlearned(150), None) for i in range(20)]
+    rows += [(700 + i, " ".join("".join(rng.choice(list("αβγδεζηθικλμ"), 5)) for _ in range(100)), None) for i in range(20)]
+    rows += [(800 + i, speak[list(speak)[i % 4]](2), None) for i in range(40)]
+    rows += [(900 + i, "\n".join([speak["aa"](6)] * 200), None) for i in range(5)]
+    rows += [(1000, "123", None), (1001, None, None), (1002, "", "aa")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in langid.accepted(docs).collect()}
+    assert kept >= {*range(400), *range(800, 840), *range(900, 905)}
+    assert not kept & {*range(500, 520), *range(600, 620), *range(700, 720), 1000, 1001, 1002}
+
+
 def test_nothing_learned_is_und(spark):
     docs = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert langid.identify(docs).first().lang_pred == "und"
