@@ -1,10 +1,11 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
-Benchmark items are cut into overlapping segments; an item whose segment of m characters occurs in a document with at most
-k = m * EDIT_SHARE edits is a leak. Such a region shares at least m - q + 1 - k * q of the segment's q-grams, and all of
-them on diagonals (place in the document less place in the segment) no more than 2k apart. So shared q-grams are counted
-in overlapping bands of diagonals, twice as wide as that and half overlapping. Bands that reach the bound are verified
-by alignment inside the band.
+An item of which any window of m = SEGMENT characters (shorter items: the whole item) occurs in a document with at most
+k = m * EDIT_SHARE edits is a leak. Such a region shares at least m - q + 1 - k * q of the window's q-grams, and all of
+them on diagonals (place in the document less place in the item) no more than 2k apart. So shared q-grams are counted
+in overlapping bands of diagonals, twice as wide as that and half overlapping, and inside a band within a sliding window.
+All windows that reach the bound are verified by alignment inside the band, together. Long items are cut into overlapping pieces of SPAN
+characters, so that every window lies in one.
 
 Texts are compared in lower case with every run of other than letters and digits as one space. Segments shorter than q
 characters tell nothing and are left out.
@@ -25,9 +26,9 @@ from levyline.llm.textsets import small_batches, text_slices
 from levyline.session import written
 
 Q = 8  # eight bytes are one 64-bit number
-SEGMENT, STEP = 120, 60
+SEGMENT, SPAN = 120, 240  # length of a window, and of the pieces that items are cut into
 EDIT_SHARE = 0.1
-BLOCK_SEGMENTS = 50_000  # segments searched for in one pass, the bound of what is broadcast
+BLOCK_SEGMENTS = 25_000  # pieces, twice as long as a window, searched for in one pass, the bound of what is broadcast
 EXPAND = 2_000_000  # q-gram matches looked at together
 _FILTER_BITS = 20
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -57,12 +58,13 @@ def qgrams(data: np.ndarray) -> np.ndarray:
 
 
 def segments_of(text: str | None) -> list[bytes]:
+    """Pieces of an item; every window of SEGMENT characters lies in one of them."""
     data = np.frombuffer((text or "").lower().encode(), np.uint8)
     out = normalised(data, np.array([0, len(data)]))[0].tobytes().strip() if len(data) else b""
-    if len(out) <= SEGMENT:
+    if len(out) <= SPAN:
         return [out] if len(out) >= Q else []
-    starts = [*range(0, len(out) - SEGMENT, STEP), len(out) - SEGMENT]
-    return [out[s:s + SEGMENT] for s in starts]
+    starts = [*range(0, len(out) - SPAN, SPAN - SEGMENT + 1), len(out) - SPAN]
+    return [out[s:s + SPAN] for s in starts]
 
 
 @dataclass
@@ -82,8 +84,9 @@ class Index:
         self.grams, self.first, self.count = np.unique(every[order], return_index=True, return_counts=True)
         self.known = np.zeros(1 << _FILTER_BITS, bool)
         self.known[self._slot(self.grams)] = True
-        self.lengths = np.array([len(s) for s in self.segments], np.int64)
-        self.edits = np.array([edit_budget(len(s)) for s in self.segments], np.int64)
+        self.lengths = np.array([min(len(s), SEGMENT) for s in self.segments], np.int64)  # of a window
+        self.room = np.array([len(s) for s in self.segments], np.int64) - self.lengths  # the last place where one begins
+        self.edits = np.array([edit_budget(int(n)) for n in self.lengths], np.int64)
         self.needed = self.lengths - Q + 1 - self.edits * Q
 
     @staticmethod
@@ -100,8 +103,8 @@ class Index:
         same = self.grams[number] == grams[at]
         return at[same], number[same]
 
-    def bands(self, at: np.ndarray, number: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(segment, lowest diagonal, q-grams) of the bands of one document that reach the bound."""
+    def bands(self, at: np.ndarray, number: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray]]:
+        """(segment, lowest diagonal, q-grams, starts of the windows) of the bands of one document where windows reach the bound."""
         parts = list(_bounded(at, number, self.count))
         # a segment that shares too few q-grams with the whole document has no band that reaches its bound
         total = np.zeros(len(self.segments), np.int64)
@@ -117,17 +120,28 @@ class Index:
             stay = enough[owner]
             owner, place = owner[stay], self.place[slots[stay]]
             diagonal = np.repeat(a, self.count[n])[stay] - place
-            band = (diagonal + SEGMENT) // (2 * self.edits[owner] + 1)  # no place is so far left that this is negative
+            band = (diagonal + SPAN) // (2 * self.edits[owner] + 1)  # no place is so far left that this is negative
             for b in (band, band - 1):
-                codes.append(_distinct(((b + 1) * len(self.segments) + owner) * SEGMENT + place))
-        every = _distinct(np.concatenate(codes)) // SEGMENT
-        first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-        band, counts = every[first], np.diff(np.append(first, len(every)))
-        owner = band % len(self.segments)
-        for i in np.flatnonzero(counts >= self.needed[owner]):
-            o = int(owner[i])
-            low = (int(band[i]) // len(self.segments) - 1) * (2 * int(self.edits[o]) + 1) - SEGMENT
-            yield o, low, int(counts[i])
+                codes.append(_distinct(((b + 1) * len(self.segments) + owner) * SPAN + place))
+        every = _distinct(np.concatenate(codes))
+        every, place = every // SPAN, every % SPAN
+        owner = every % len(self.segments)
+        # the places i .. j are just as many as needed, and lie in one window if they are close enough
+        i = np.arange(len(every))
+        j = i + self.needed[owner] - 1
+        i, j = i[j < len(every)], j[j < len(every)]
+        close = (every[i] == every[j]) & (place[j] - place[i] <= self.lengths[owner[i]] - Q)
+        i, j = i[close], j[close]
+        if not len(i):
+            return
+        cuts = np.flatnonzero(every[i][1:] != every[i][:-1]) + 1
+        for a, b in zip(np.split(i, cuts), np.split(j, cuts), strict=True):
+            o = int(owner[a[0]])
+            low = (int(every[a[0]]) // len(self.segments) - 1) * (2 * int(self.edits[o]) + 1) - SPAN
+            starts = np.zeros(int(self.room[o]) + 2, np.int64)
+            np.add.at(starts, np.clip(place[b] - (self.lengths[o] - Q), 0, self.room[o]), 1)
+            np.add.at(starts, np.minimum(place[a], self.room[o]) + 1, -1)
+            yield o, low, int(b[-1] - a[0] + 1), np.flatnonzero(starts.cumsum() > 0)
 
     def _slots(self, number: np.ndarray) -> np.ndarray:
         """Every place in a segment that the q-grams of these numbers have."""
@@ -151,32 +165,42 @@ def _bounded(at: np.ndarray, number: np.ndarray, count: np.ndarray):
 
 
 def aligned(segment: bytes, data: np.ndarray, low: int, width: int) -> tuple[int, int, int]:
-    """Fewest edits of `segment` against a part of `data` on the diagonals low .. low + width - 1, and where that part lies.
+    """Fewest edits of `segment` against a part of `data` on the diagonals low .. low + width - 1, and where that part lies."""
+    edits, start, stop = aligned_windows(segment, np.zeros(1, np.int64), len(segment), data, low, width)
+    return int(edits[0]), int(start[0]), int(stop[0])
+
+
+def aligned_windows(
+    segment: bytes, starts: np.ndarray, length: int, data: np.ndarray, low: int, width: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for the windows of `length` characters that begin at `starts` in `segment`, on diagonals of the segment.
 
-    One row of the table per character of the segment, one column per diagonal.
+    One row of the table per character of a window, one column per diagonal, one layer per window.
     """
     letters = np.frombuffer(segment, np.uint8)
     columns = np.arange(width)
-    far = len(segment) + 1
-    inside = lambda row: (row + low + columns >= 0) & (row + low + columns <= len(data))
+    far = length + 1
+    base = starts[:, None] + low + columns  # where each diagonal meets a window's first character
+    inside = lambda row: (row + base >= 0) & (row + base <= len(data))
     cost = np.where(inside(0), 0, far)
-    start = low + columns
+    start = base
     padded = np.concatenate([np.zeros(max(0, -low), np.uint8), data, np.zeros(max(0, low + width + len(segment) - len(data)), np.uint8)])
     shift = max(0, -low)
-    for row in range(1, len(segment) + 1):
-        there = padded[row - 1 + low + shift:row - 1 + low + shift + width]
-        best = cost + (there != letters[row - 1])
+    edge = np.full((len(starts), 1), far)
+    for row in range(1, length + 1):
+        best = cost + (padded[base + (row - 1 + shift)] != letters[starts + (row - 1)][:, None])
         begin = start
-        drop = np.concatenate([cost[1:] + 1, [far]])  # a character of the segment without a partner
+        drop = np.concatenate([cost[:, 1:] + 1, edge], axis=1)  # a character of the window without a partner
         take = drop < best
-        best, begin = np.where(take, drop, best), np.where(take, np.concatenate([start[1:], [0]]), begin)
+        best, begin = np.where(take, drop, best), np.where(take, np.concatenate([start[:, 1:], 0 * edge], axis=1), begin)
         best = np.where(inside(row), best, far)
         # characters of the document without a partner: the least cost to the left, one more per column
-        least = np.minimum.accumulate(best - columns)
-        from_left = np.maximum.accumulate(np.where(best - columns == least, columns, 0))
-        cost, start = least + columns, begin[from_left]
-    end = int(cost.argmin())
-    return int(cost[end]), int(start[end]), len(segment) + low + end
+        least = np.minimum.accumulate(best - columns, axis=1)
+        from_left = np.maximum.accumulate(np.where(best - columns == least, columns, 0), axis=1)
+        cost, start = least + columns, np.take_along_axis(begin, from_left, axis=1)
+    end = cost.argmin(axis=1)
+    each = np.arange(len(starts))
+    return cost[each, end], start[each, end], length + base[each, end]
 
 
 def leaks_in(column: pa.Array, index: Index) -> Iterator[tuple[int, int, int, int, int]]:
@@ -196,11 +220,12 @@ def leaks_in(column: pa.Array, index: Index) -> Iterator[tuple[int, int, int, in
             i = int(r[0])
             begin, text = int(ends[i]), clean[ends[i]:ends[i + 1]]
             done: set[int] = set()
-            for o, low, _ in sorted(index.bands(a - begin, n), key=lambda x: -x[2]):
+            for o, low, _, windows in sorted(index.bands(a - begin, n), key=lambda x: -x[2]):
                 item = int(index.items[o])
                 if item in done:
                     continue
-                edits, start, stop = aligned(index.segments[o], text, low, 2 * (2 * int(index.edits[o]) + 1))
+                found = aligned_windows(index.segments[o], windows, int(index.lengths[o]), text, low, 2 * (2 * int(index.edits[o]) + 1))
+                edits, start, stop = (int(x[found[0].argmin()]) for x in found)
                 if edits <= index.edits[o]:
                     done.add(item)
                     base = data[offsets[i]:offsets[i + 1]]

@@ -477,6 +477,19 @@ def test_leaks_with_edits(spark):
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [0, 5, 6, 7, 8, 13]
 
 
+def test_a_passage_is_found_at_every_offset(spark):
+    item = " ".join(words(120, 400))[:420]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    filler = [" ".join(words(30, 500 + i)) for i in range(2)]
+    passage = lambda at: "".join("#" if i in (40, 90) else c for i, c in enumerate(item[at:at + 120]))
+    rows = [(at, f"{filler[0]} {item[at:at + 120]} {filler[1]}") for at in range(301)]
+    rows += [(1000 + at, f"{filler[0]} {passage(at)} {filler[1]}") for at in range(0, 301, 7)]
+    rows += [(2000 + at, f"{filler[0]} {item[at:at + 90]} {filler[1]}") for at in range(0, 330, 11)]
+    got = {r.doc_id: r.edits for r in decontaminate.find_leaks(documents(spark, rows), bench).collect()}
+    assert set(got) == {r[0] for r in rows if r[0] < 2000}
+    assert all(got[at] == 0 for at in range(301))
+
+
 def edit_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
