@@ -1,6 +1,7 @@
 """URL filter: host and path rules, and gradient-boosted trees on lexical features for what no rule decides.
 
 The trees learn from labelled URLs (here those that a rule decides) on at most `TRAIN_ROWS` of them, taken by lowest hash.
+Block rates and counts of suffixes are those of all labelled URLs.
 """
 
 from __future__ import annotations
@@ -70,6 +71,11 @@ def _entropy(text: Column) -> Column:
     return F.when(n > 0, bits).otherwise(0.0)
 
 
+def suffix_of(host: Column) -> Column:
+    """The host's last two labels, the last one first."""
+    return F.concat_ws(".", F.slice(F.reverse(F.split(host, r"\.")), 1, 2))
+
+
 def lexical(pages: DataFrame) -> DataFrame:
     """Adds the features that need nothing but the url; the suffix is the host's last two labels."""
     url, rest = F.coalesce("url", F.lit("")), F.substring_index(F.coalesce("url", F.lit("")), "#", 1)
@@ -85,7 +91,7 @@ def lexical(pages: DataFrame) -> DataFrame:
         "parameters": F.size(F.filter(F.split(query, "&"), lambda p: p != "")).cast("double"),
         "has_fragment": F.when(url.contains("#"), 1.0).otherwise(0.0),
         "is_https": F.when(url.startswith("https:"), 1.0).otherwise(0.0),
-        "suffix": F.concat_ws(".", F.slice(F.reverse(F.split("host", r"\.")), 1, 2)),
+        "suffix": suffix_of(F.col("host")),
     })
 
 
@@ -113,15 +119,16 @@ def judge(pages: DataFrame, rules: Sequence[Rule], train_rows: int = TRAIN_ROWS,
     decided = verdict_of[F.col("rule")] if rules else F.lit(None).cast("string")
     out = base.withColumn("decided", decided)
     labelled = out.filter("rule IS NOT NULL").withColumn("label", (F.col("decided") == "block").cast("double"))
-    labelled = labelled.orderBy(F.xxhash64("url", "page_id"), "page_id", "url").limit(train_rows)
-    train = written(lexical(labelled).drop("html"), "url-train")
-    n, blocked = train.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+    counted = labelled.groupBy(suffix_of(F.col("host")).alias("suffix")).agg(F.count("*").alias("n_rows"), F.sum("label").alias("n_blocked"))
+    stats = written(counted, "url-suffixes")  # as many as there are suffixes: Spark chooses the join
+    n, blocked = stats.agg(F.coalesce(F.sum("n_rows"), F.lit(0)), F.coalesce(F.sum("n_blocked"), F.lit(0.0))).first()
     if not 0 < blocked < n:
         return out.select("page_id", "host", "path", "rule", F.coalesce("decided", F.lit("allow")).alias("verdict"),
                           F.when(F.col("rule").isNull(), 0.0).alias("score"))
     overall = blocked / n
-    # at most one row per labelled row, so its size is bounded by train_rows
-    stats = F.broadcast(train.groupBy("suffix").agg(F.count("*").alias("n_rows"), F.sum("label").alias("n_blocked")))
+    # only the fit uses a sample
+    sample = labelled.orderBy(F.xxhash64("url", "page_id"), "page_id", "url").limit(train_rows)
+    train = written(lexical(sample), "url-train")
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
     ready = assemble.transform(_with_suffix_rates(train, stats, overall, F.col("label"))).select("features", "label")
     model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, subsamplingRate=0.8).fit(ready)

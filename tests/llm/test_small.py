@@ -300,6 +300,26 @@ def test_url_rules_and_trees(spark):
         assert (got[i].score is None) == (rule is not None)
 
 
+def test_suffix_counts_are_of_all_labelled_urls(spark, monkeypatch):
+    rows = [f"http://h{i}.s{i % 40}.{'com' if i % 3 else 'net'}/{'en' if i % 3 else 'es'}/{i}" for i in range(600)]
+    rows = [u.replace(".s", ".x.s") if i % 2 else f"http://{'www.example.com' if i % 4 else 'example.com'}/en/{i}" for i, u in enumerate(rows)]
+    rows += [f"http://a{i}.net/es/{i}" for i in range(300)] + ["http://b.open.org/x"]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    seen, real = [], urls._with_suffix_rates
+    monkeypatch.setattr(urls, "_with_suffix_rates", lambda r, stats, overall, *own: seen.append((stats.collect(), overall)) or real(r, stats, overall, *own))
+    got = urls.judge(pages, URL_RULES, train_rows=50, trees=2).collect()
+    rules = [(parse(u)[0], rule_of(*parse(u))) for u in rows]
+    want = {}
+    for host, rule in rules:
+        if rule:
+            n, blocked = want.get(suffix := ".".join(host.split(".")[::-1][:2]), (0, 0))
+            want[suffix] = n + 1, blocked + (rule.verdict == "block")
+    assert len(got) == len(rows) and len(seen) == 2
+    for stats, overall in seen:
+        assert {r.suffix: (r.n_rows, r.n_blocked) for r in stats} == want
+        assert math.isclose(overall, sum(b for _, b in want.values()) / sum(n for n, _ in want.values()))
+
+
 def test_urls_without_labels_are_allowed(spark):
     pages = spark.createDataFrame([(1, "http://a.org/x"), (2, None)], "page_id long, url string")
     assert {r.verdict for r in urls.judge(pages, URL_RULES).collect()} == {"allow"}
