@@ -1,7 +1,7 @@
 """Secret scan: three patterns, and a battery of randomness tests for strings that no pattern names.
 
 Candidates are long runs of encoding characters. Each gets the narrowest encoding that holds it (hex, base 32, base 36, base 62
-or base 64), and its characters, as numbers of that alphabet, face three tests of randomness: chi-squared for uniform
+or base 64; of letters only: 26 or 52 letters); a run without one, as it mixes alphabets, is cut at / + _ - and its parts are candidates. It, its characters, as numbers of that alphabet, face three tests of randomness: chi-squared for uniform
 use of the alphabet, the number of runs above and below its middle, and the correlation of neighbours. Their p-values are
 combined by Fisher's method. A candidate is dropped as ordinary text where the false-discovery procedure of Benjamini and
 Hochberg rejects its randomness among the candidates of like encoding and length; the others are reported.
@@ -23,9 +23,10 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}"  # the runs of [0-9a-f]+ that have 32 characters
 KINDS = ("assign", "access", "hex", "random")
-# A candidate: at least this many encoding characters, with a digit and a letter.
+# A candidate: at least this many encoding characters.
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}+={0,2}"
 LEAST_BITS = 80.0  # a string of fewer possible values says too little to be told from text
+LEAST_PART = 14  # characters; fewer of 62 have not these bits
 DISCOVERY_RATE = 0.05
 BIN = 0.05  # width of a bin of -log10(p)
 TOP_BIN = 600
@@ -43,6 +44,8 @@ ENCODINGS = (
     ("base64", "^[0-9A-Za-z+/]+$", _UP + _LOW + _DIGITS + "+/"),
     ("base64url", "^[0-9A-Za-z_-]+$", _UP + _LOW + _DIGITS + "-_"),
 )
+# For runs without a digit.
+LETTERS = (("lower", "^[a-z]+$", _LOW), ("upper", "^[A-Z]+$", _UP), ("letters", "^[A-Za-z]+$", _UP + _LOW))
 
 
 def running_sums(values: Column) -> Column:
@@ -91,18 +94,33 @@ def _two_sided(z: Column) -> Column:
 
 
 def encoding_of(text: Column) -> Column:
-    """Number of the narrowest encoding, null for words, plain numbers and mixtures of alphabets."""
+    """Number of the narrowest encoding, null for plain numbers, words with marks between and mixtures of alphabets."""
     core = F.rtrim(text, F.lit("="))
     mixed = core.rlike("[0-9]") & core.rlike("[A-Za-z]")
-    cases = F.when(~mixed, F.lit(None).cast("int"))
+    cases = F
+    for i, (_, pattern, _) in enumerate(LETTERS):
+        cases = cases.when(core.rlike(pattern), F.lit(len(ENCODINGS) + i))
+    cases = cases.when(~mixed, F.lit(None).cast("int"))
     for i, (_, pattern, _) in enumerate(ENCODINGS):
         cases = cases.when(core.rlike(pattern), F.lit(i))
     return cases
 
 
+def candidates(runs: DataFrame) -> DataFrame:
+    """row, token, span, encoding of runs (row, token, span): a run that has an encoding, else its parts between / + _ - that have one."""
+    runs = runs.withColumn("encoding", encoding_of(F.col("token")))
+    parts = F.split("token", "[/+_-]", -1)
+    ends = running_sums(F.transform(parts, lambda p: F.length(p).cast("bigint") + 1))
+    placed = F.zip_with(parts, ends, lambda p, e: F.struct(p.alias("token"), F.struct(
+        (F.col("span.start") + e - 1 - F.length(p)).alias("start"), F.col("span.kind").alias("kind"), (F.col("span.start") + e - 1).alias("end")).alias("span")))
+    long = F.filter(placed, lambda x: F.length(x.token) >= LEAST_PART)
+    cut = runs.filter("encoding IS NULL").select("row", F.inline(long)).withColumn("encoding", encoding_of(F.col("token")))
+    return runs.filter("encoding IS NOT NULL").select("row", "token", "span", "encoding").unionByName(cut.filter("encoding IS NOT NULL"))
+
+
 def battery(rows: DataFrame) -> DataFrame:
     """Adds n, bits and p (of randomness) to rows (token, encoding)."""
-    alphabet = F.element_at(F.array(*[F.lit(a) for _, _, a in ENCODINGS]), F.col("encoding") + 1)
+    alphabet = F.element_at(F.array(*[F.lit(a) for _, _, a in ENCODINGS + LETTERS]), F.col("encoding") + 1)
     rows = rows.withColumns({"core": F.rtrim("token", F.lit("=")), "alphabet": alphabet})
     rows = rows.withColumns({"n": F.length("core").cast("double"), "k": F.length("alphabet").cast("double")})
     values = F.transform(F.filter(F.split("core", ""), lambda c: c != ""), lambda c: F.position(c, F.col("alphabet")).cast("double") - 0.5)
@@ -164,8 +182,8 @@ def scan(docs: DataFrame, rate: float = DISCOVERY_RATE) -> DataFrame:
     """
     rows = _tested(docs)
     # candidates are judged by what they are, so that equal ones are counted together and looked up by their text
-    tokens = rows.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("times"))
-    tokens = tokens.withColumn("encoding", encoding_of(F.col("token"))).filter("encoding IS NOT NULL")
+    found = candidates(rows.filter("size(spans) > 0").select("row", F.inline(F.arrays_zip("tokens", "spans"))).withColumnsRenamed({"tokens": "token", "spans": "span"}))
+    tokens = found.groupBy("token", "encoding").agg(F.count("*").alias("times"))
     tested = battery(tokens).filter(F.col("bits") >= LEAST_BITS)
     step = F.least(F.floor(-F.log10(F.greatest("p", F.lit(1e-300))) / BIN), F.lit(TOP_BIN)).cast("int")
     stratum = (F.col("encoding") * 100 + F.floor(F.log2("n"))).cast("int")
@@ -175,16 +193,14 @@ def scan(docs: DataFrame, rate: float = DISCOVERY_RATE) -> DataFrame:
     everything = F.sum("times").over(Window.partitionBy("stratum"))
     passed = counts.withColumns({"seen": F.sum("times").over(falling), "all": everything}).filter(
         F.pow(F.lit(10.0), -BIN * F.col("step")) <= rate * F.col("seen") / F.col("all"))
-    # at most 8 encodings times 31 lengths
+    # at most 11 encodings times 31 lengths
     limits = {r[0]: r[1] for r in passed.groupBy("stratum").agg(F.min("step")).collect()}
     limit = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])[F.col("stratum")] if limits else F.lit(None).cast("int")
     secret = tested.filter(limit.isNull() | (F.col("step") < limit)).select("token")
-    return _summed(rows, secret)
+    return _summed(rows, found, secret)
 
 
-def _summed(rows: DataFrame, secret: DataFrame) -> DataFrame:
-    found = rows.filter("size(spans) > 0").select("row", F.inline(F.arrays_zip("tokens", "spans"))).select(
-        "row", F.col("tokens").alias("token"), F.col("spans").alias("span"))
+def _summed(rows: DataFrame, found: DataFrame, secret: DataFrame) -> DataFrame:
     random = found.join(secret, "token").groupBy("row").agg(F.collect_list("span").alias("random"))
     # what a pattern has named already is not named again
     fresh = F.filter("random", lambda r: ~F.exists("base", lambda b: (b.start < r.end) & (r.start < b.end)))

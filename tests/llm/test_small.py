@@ -252,6 +252,20 @@ def test_secret_spans(spark):
     assert not any(by_id[i].n_random for i in range(52, 62))
 
 
+def test_keys_glued_to_text_are_found(spark):
+    rng = np.random.default_rng(41)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    key = lambda alphabet, n=40: "".join(rng.choice(list(alphabet), n))
+    before = ["see my-app/v1/"] * 20 + ["name_of+"] * 20 + ["the "] * 40
+    keys = [key(letters + "0123456789") + "x7" for _ in range(40)] + [key(letters) for _ in range(20)] + [key(letters[26:]) for _ in range(20)]
+    plain = ["a-long/path_of+words/and-more_words/without/any-key1", "z" * 44, "12345-67890/12345_67890+12345"] * 5
+    texts = [f"{b}{k} end" for b, k in zip(before, keys, strict=True)] + plain
+    got = {r.doc_id: r.spans for r in secrets.scan(documents(spark, list(enumerate(texts)))).collect()}
+    for part in (range(20), range(20, 40), range(40, 60), range(60, 80)):
+        assert sum(got[i] == f"random:{len(before[i])}:{len(before[i]) + len(keys[i])}" for i in part) >= 17
+    assert not any(got[i] for i in range(80, 95))
+
+
 def test_running_sums(spark):
     for n in (0, 1, 5, 511, 512, 513, 2000):
         row = spark.range(1).select(secrets.running_sums(F.transform(F.sequence(F.lit(0), F.lit(n)), lambda x: x.cast("bigint"))).alias("s")).first()
