@@ -37,7 +37,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Place, length and checksum of every document in the token files."""
-    return tokenfiles.token_table(docs, vocabulary())
+    return tokenfiles.token_table(docs, vocabulary(), escape=False)
 
 
 STAGES = [

@@ -47,7 +47,7 @@ def vocabulary() -> str:
 
 def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and checksum in the token files, read back from them."""
-    return tokenfiles.token_table(table(spark, sf_dir, "documents"), vocabulary())
+    return tokenfiles.token_table(table(spark, sf_dir, "documents"), vocabulary(), escape=False)
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

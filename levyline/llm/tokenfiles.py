@@ -53,20 +53,27 @@ class Encoder(dict):
 
     A text may be cut before any space that a non-space follows, as the pre-tokenizer cuts there, too. The pieces of a
     unit go to the vocabulary's model one by one; units with letters whose class depends on the Unicode version go
-    through the whole tokenizer.
+    through the whole tokenizer. So do whole texts that hold an added token of the vocabulary, which may reach over spaces.
+    With `escape` special tokens inside a text are ordinary text, without it they are what the library's plain call makes of them.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, escape: bool = True):
         super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # control strings inside a text are ordinary text
+        if escape:
+            self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (escape and t.special)]
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
         self.model, self.pieces, self.letters = self.tokenizer.model, {}, _byte_letters()
 
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def _ids(self, text: str) -> bytes:
         if not _PLAIN.fullmatch(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return self._whole(text)
         return b"".join([self.pieces.get(p) or self._piece(p) for p in WORDS.findall(text)])
 
     def _piece(self, piece: str) -> bytes:
@@ -83,13 +90,15 @@ class Encoder(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
+        if self.added.search(text):
+            return self._whole(text)
         units = _UNIT.split(text) if _SPACE_RUN.search(text) else text.split(" ")
         return self._ids(units[0]) + b"".join(map(self.__getitem__, units[1:]))
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, escape: bool = True) -> Encoder:
+    return Encoder(path, escape)
 
 
 class Writer:
@@ -153,7 +162,7 @@ def read_block(source, block: np.ndarray) -> bytes:
     return np.stack(planes, axis=1).reshape(4 * n_ids).tobytes()
 
 
-def write_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int = END_ID) -> DataFrame:
+def write_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int = END_ID, escape: bool = True) -> DataFrame:
     """Encodes and writes `docs` (doc_id, text; others are left out); rows (part, path, n_docs, n_ids), one per file.
 
     Null ids come first, equal ids by a hash of their text, a null text is empty. An empty table gives no files.
@@ -173,7 +182,7 @@ def write_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int = END
                 if writer is None:
                     sink = files.open_output_stream(f"{name}.{attempt}")
                     writer = Writer(sink)
-                writer.add(doc_id.as_py(), encoder(vocabulary).encode(text.as_py() or "") + end)
+                writer.add(doc_id.as_py(), encoder(vocabulary, escape).encode(text.as_py() or "") + end)
         if writer is not None:
             writer.close()
             sink.close()
@@ -215,7 +224,10 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
     return files.select("part", "path", "first").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_table(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
-    """Writes the files into a new folder of the shared one and sums up what is read back from them."""
+def token_table(docs: DataFrame, vocabulary: str, end_id: int = END_ID, escape: bool = True) -> DataFrame:
+    """Writes the files into a new folder of the shared one and sums up what is read back from them.
+
+    `escape`: special tokens inside a text are ordinary text.
+    """
     folder = work_folder(docs.sparkSession, "planes")
-    return read_files(write_files(docs, vocabulary, folder, end_id), folder)
+    return read_files(write_files(docs, vocabulary, folder, end_id, escape), folder)

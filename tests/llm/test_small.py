@@ -11,10 +11,11 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from levyline.llm import (
     chat, components, decontaminate, langid, line_dedup, mixing, ngram_join, permutation_index, secrets, textsets, tokenfiles, urls,
 )
-from levyline.llm.queries import URL_RULES, vocabulary
+from levyline.llm.queries import URL_RULES, op4_token_planes, vocabulary
 
 RNG = np.random.default_rng(3)
 WORDS = ["".join(RNG.choice(list("abcdefghijklmnop"), RNG.integers(2, 8))) for _ in range(300)]
@@ -358,6 +359,20 @@ def test_token_files_match_the_library(spark):
     assert [r.start for r in ordered] == [0, *np.cumsum([r.n_tokens for r in ordered])[:-1].tolist()]
 
 
+def test_the_query_follows_the_plain_library_call(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(vocabulary())
+    texts = ["<|endoftext|> x #", "a<|endoftext|>b  c", "x <|endoftext|>  <|endoftext|>é 日本", "no token <|endoftext", None, "end <|endoftext|>"]
+    documents(spark, list(enumerate(texts))).write.parquet(f"{tmp_path}/documents.parquet")
+    ids = {i: plain.encode(t or "", add_special_tokens=False).ids + [2] for i, t in enumerate(texts)}
+    assert 50256 in ids[0]
+    want = {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in ids.items()}
+    assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in op4_token_planes(spark, str(tmp_path)).collect()} == want
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in corpus_pipeline.token_files(spark, docs, str(tmp_path)).collect()} == want
+
+
 def test_cut_off_file_is_refused(tmp_path):
     path = tmp_path / "x.planes"
     with open(path, "wb") as sink:
