@@ -223,9 +223,18 @@ def search_with_fallback(
 
 def plain_number(name: str) -> Column:
     """Text of a number without an exponent, at least one digit after the point; 0 when NULL."""
-    value = F.col(name).cast("double")
-    digits = F.regexp_replace(value.try_cast("decimal(30,6)").cast("string"), r"(\.\d+?)0+$", "$1")
-    return F.coalesce(F.when(F.abs(value) < 1e7, value.cast("string")).otherwise(digits), F.lit("0"))
+    text = F.col(name).cast("double").cast("string")
+    # Spark writes small and large numbers as d.dddE+n: the digits stay, the point moves
+    sign, whole = F.regexp_extract(text, r"^(-?)", 1), F.regexp_extract(text, r"^-?(\d+)", 1)
+    after = F.regexp_replace(F.regexp_extract(text, r"\.(\d+)E", 1), "0+$", "")
+    by = F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int")
+    digits, n = F.concat(whole, after), F.length(after)
+    moved = (
+        F.when(by < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -by - 1), digits))
+        .when(by >= n, F.concat(digits, F.repeat(F.lit("0"), by - n), F.lit(".0")))
+        .otherwise(F.concat(F.substring(digits, F.lit(1), by + 1), F.lit("."), F.substring(digits, by + 2, n)))
+    )
+    return F.coalesce(F.when(by.isNotNull(), F.concat(sign, moved)).otherwise(text), F.lit("0"))
 
 
 def record_text() -> Column:

@@ -115,3 +115,18 @@ def test_markdown_sections(spark, tmp_path):
         ("a.md", "First one", "agents ; x", "internal", "INTERNAL"), ("a.md", "Second", "", "", "INTERNAL")]
     assert rows[0]["text"] == "First one\nSource: agents ; x\nStatus: internal\n\nBody ## not a heading"
     assert rows[1]["text"] == "Second\n" and rows[0]["chunk_id"] == "a.md::First one"
+
+
+def test_numbers_keep_their_digits_at_every_size(spark):
+    from decimal import Decimal
+
+    from levyline.operators.retrieval import plain_number
+
+    values = [0.0, 1.5, -2.25, 9999999.0, 1e7, 12345678.9, -12345678.123456789, 123456789012.25, 1.5e24, 1e25, -3.25e30, 1.7e308, 1e-4, -1.25e-9, None]
+    got = [r.x for r in spark.createDataFrame([(v,) for v in values], "v double").select(plain_number("v").alias("x")).collect()]
+
+    def plain(v):
+        text = format(Decimal(repr(v)), "f")
+        return text if "." in text else text + ".0"
+
+    assert got == [plain(v) if v is not None else "0" for v in values]
