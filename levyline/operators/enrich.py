@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from levyline.functions.text import trimmed
 from levyline.operators.clean import typed_filing, typed_profile
 from levyline.operators.timejoin import asof_left_join, interval_left_join, nearest_left_join
+from levyline.streaming.lookup import timed_lookup
 
 HOUR = 3600
 PROFILE_VALUES = ["age", "risk_score", "historical_filings_count", "avg_income_3yr", "flagged_previously"]
@@ -70,6 +71,30 @@ def enrich_asof(
     return _enriched(joined.withColumns({f"p_{n}": F.col(f"found.p_{n}") for n in PROFILE_VALUES}), processed_at)
 
 
+def enrich_once_stream(
+    filings: DataFrame, profiles: DataFrame, before_seconds: int = HOUR, after_seconds: int = HOUR,
+    processed_at: Column | None = None, trim_keys: bool = True, spread: int = 1,
+) -> DataFrame:
+    """`enrich_once` of two streams: a filing leaves when no closer profile can come any more."""
+    return _looked_up(filings, profiles, before_seconds, after_seconds, processed_at, trim_keys, spread)
+
+
+def enrich_asof_stream(
+    filings: DataFrame, profiles: DataFrame, processed_at: Column | None = None, trim_keys: bool = True, spread: int = 1,
+) -> DataFrame:
+    """`enrich_asof` of two streams: a filing leaves when no newer profile before it can come any more."""
+    return _looked_up(filings, profiles, None, 0, processed_at, trim_keys, spread)
+
+
+def _looked_up(filings, profiles, before_seconds, after_seconds, processed_at, trim_keys, spread) -> DataFrame:
+    left, right = _sides(filings, profiles, trim_keys)
+    joined = timed_lookup(
+        left, right.withColumnRenamed("p_customer_id", "_customer"), "_customer", "event_time", "p_event_time", "application_id",
+        before_seconds, after_seconds, spread=spread,
+    )
+    return _enriched(joined.withColumns({f"p_{n}": F.col(f"found.p_{n}") for n in PROFILE_VALUES}), processed_at)
+
+
 def income_above_history(enriched: DataFrame, factor: float = 3.0) -> DataFrame:
     """Filings whose income exceeds `factor` times the known three-year average."""
     return enriched.where(

@@ -28,6 +28,20 @@ def enriched_filings(filing_messages: DataFrame, profile_messages: DataFrame, pr
     return enrich.enrich_interval(filings_from(filing_messages), profiles, processed_at=processed_at, trim_keys=trim_keys)
 
 
+def once_enriched_filings(filing_messages: DataFrame, profile_messages: DataFrame, processed_at: Column | None = None,
+                          spread: int = 1) -> DataFrame:
+    """Streams only: one row per filing, with the profile closest in time within the hour around it."""
+    profiles = with_event_time(accepted(decode_json(profile_messages, PROFILE)))
+    return enrich.enrich_once_stream(filings_from(filing_messages), profiles, processed_at=processed_at, spread=spread)
+
+
+def asof_enriched_filings(filing_messages: DataFrame, profile_messages: DataFrame, processed_at: Column | None = None,
+                          spread: int = 1) -> DataFrame:
+    """Streams only: one row per filing, with the newest profile at or before it."""
+    profiles = with_event_time(accepted(decode_json(profile_messages, PROFILE)))
+    return enrich.enrich_asof_stream(filings_from(filing_messages), profiles, processed_at=processed_at, spread=spread)
+
+
 def kpi_windows(messages: DataFrame, width: str = "5 minutes") -> DataFrame:
     return kpi.kpi_windows(filings_from(messages, WINDOW_FILING), width)
 

@@ -271,7 +271,9 @@ FEATURES = (
 
 def fixed(number: str, digits: int) -> str:
     unit = 10 ** digits
-    return f"concat(CAST(({number}) // {unit} AS VARCHAR), '.', lpad(CAST(({number}) % {unit} AS VARCHAR), {digits}, '0'))"
+    whole = f"abs({number})"
+    sign = f"CASE WHEN ({number}) < 0 THEN '-' ELSE '' END"
+    return f"concat({sign}, CAST({whole} // {unit} AS VARCHAR), '.', lpad(CAST({whole} % {unit} AS VARCHAR), {digits}, '0'))"
 
 
 CACHE = f"""
@@ -571,11 +573,15 @@ STATEMENTS = {
     "stream_audit": f"""
         SELECT action, channel, trigger_reason, validation_rule, count(*) AS n, sum(refund_amount) AS refunds
         FROM (SELECT event_id, action, {METADATA}, {REFUND} AS refund_amount FROM audit) GROUP BY 1, 2, 3, 4""",
-    "stream_vector_sync": """
-        SELECT application_id, customer_id, taxable_income, employment_type, employment_status, filing_status,
+    "stream_vector_sync": f"""
+        SELECT application_id, {uuid5('application_id')} AS point_id, customer_id, taxable_income, employment_type, employment_status, filing_status,
                coalesce(province, 'UNKNOWN') AS province, CAST(0 AS DOUBLE) AS risk_score, is_fraud, '2024-02-01 00:00:00' AS processed_at FROM clean""",
-    "stream_kpi_cache": CACHE.replace("FROM cache_input", "FROM raw_cache"),
+    "stream_kpi_cache": CACHE.replace(" AS top_province\n", " AS top_province, window_end + INTERVAL 2 DAYS AS expires_at\n").replace(
+        "(SELECT * FROM cache_input ORDER BY window_start DESC LIMIT 20)",
+        "raw_cache WHERE window_end + INTERVAL 2 DAYS > (SELECT max(window_end) FROM raw_cache)"),
 }
+STATEMENTS["stream_enrich_once"] = STATEMENTS["enrich_one_per_application"]
+STATEMENTS["stream_asof"] = STATEMENTS["asof_profile"]
 BASE["raw_cache"] = BASE["cache_input"].replace("FROM clean", "FROM timed")
 
 ORACLES = {name: with_tables(sql) for name, sql in STATEMENTS.items()}

@@ -19,7 +19,7 @@ from levyline.operators import analytics, audit, chunks, clean, enrich, kpi, lin
 from levyline.plans import jobs
 from levyline.session import configure, stream_session, work_folder
 from levyline.sinks import lake as lake_sink
-from levyline.sinks import serving, vectors
+from levyline.sinks import manifest, serving, vectors
 from levyline.sources import lake, streams
 from levyline.sources import testdata as data
 from levyline.streaming.runner import AVAILABLE_NOW, drain, finish
@@ -781,6 +781,25 @@ def stream_enrich(spark, sf):
     return drain(joined, spark, "stream_enrich").select("application_id", "customer_id", "age", "risk_score", "avg_income_3yr")
 
 
+def _two_topics(spark, sf):
+    own = stream_session(spark)
+    return (data.stream_of(own, sf, sql, closed=True) for sql in (data.FILINGS_SQL, data.PROFILES_SQL))
+
+
+@query
+def stream_enrich_once(spark, sf):
+    """Every filing once, in several micro-batches, with the profile closest in time."""
+    return drain(jobs.once_enriched_filings(*_two_topics(spark, sf), spread=2), spark, "stream_once").drop("processed_at")
+
+
+@query
+def stream_asof(spark, sf):
+    """Every filing once, in several micro-batches, with the newest profile at or before it."""
+    return drain(jobs.asof_enriched_filings(*_two_topics(spark, sf), spread=2), spark, "stream_asof").select(
+        "application_id", "customer_id", "age", "risk_score", "historical_filings_count", "avg_income_3yr", "flagged_previously"
+    )
+
+
 @query
 def stream_clean(spark, sf):
     own = stream_session(spark)
@@ -853,26 +872,35 @@ def stream_vector_sync(spark, sf):
     folder = work_folder(spark, "stream_sync")
     records = jobs.cleaned_lake(data.stream_of(own, sf, data.FILINGS_SQL), F.lit("2024-02-01 00:00:00"))
     finish(vectors.start_sync(records, f"{folder}/points", f"{folder}/checkpoint", trigger=AVAILABLE_NOW))
-    return vectors.collection(spark, f"{folder}/points").drop("vector", "point_id")
+    return vectors.collection(spark, f"{folder}/points").drop("vector")
+
+
+CACHE_ROW = ", ".join(f"{c} STRING" for c in (
+    "cache_key", "window_start", "window_end", "total_count", "avg_income", "distinct_customers", "fraud_count", "fraud_rate", "top_province"
+)) + ", expires_at TIMESTAMP"
 
 
 @query
 def stream_kpi_cache(spark, sf):
-    """KPI windows upserted as they close; after each batch the cache rows of the newest are rewritten."""
+    """KPI windows and their cache rows upserted as they close; both tables are compacted, and expired rows purged, while the stream runs.
+
+    A cache row lives two days from the end of its window, by the clock of the newest one.
+    """
     own = stream_session(spark)
     folder = work_folder(spark, "stream_cache")
 
-    def refresh(batch, batch_id):
-        stored = serving.read_current(batch.sparkSession, f"{folder}/kpi", KPI_ROW, ["window_start"])
-        rows = kpi.kpi_cache_rows(kpi.newest_windows(stored)).drop("expires_at")
-        serving.upsert_batch(rows, batch_id, f"{folder}/cache", ["cache_key"], [F.desc("window_start")])
-
-    finish(serving.start_upsert(
-        jobs.kpi_windows(data.stream_of(own, sf, data.FILINGS_SQL, closed=True)), f"{folder}/kpi", f"{folder}/checkpoint",
-        "stream_kpi_cache", ["window_start"], [F.desc("total_count")], trigger=AVAILABLE_NOW, after=refresh,
+    def newest(rows):
+        last = rows.agg(F.max("expires_at")).first()[0]
+        return F.lit(last).cast("timestamp") - F.expr("INTERVAL 2 DAYS")
+
+    kpis = manifest.ServingTable(spark, f"{folder}/kpi", KPI_ROW, ["window_start"])
+    cache = manifest.ServingTable(spark, f"{folder}/cache", CACHE_ROW, ["cache_key"], expires="expires_at")
+    finish(manifest.start_serving(
+        jobs.kpi_windows(data.stream_of(own, sf, data.FILINGS_SQL, closed=True)),
+        [
+            manifest.Output(kpis, [F.desc("total_count")]),
+            manifest.Output(cache, [F.desc("window_start")], lambda batch: kpi.kpi_cache_rows(batch, F.col("window_end"), 2 * 86400), newest),
+        ],
+        f"{folder}/checkpoint", "stream_kpi_cache", trigger=AVAILABLE_NOW, compact_every=2,
     ))
-    schema = ", ".join(f"{c} STRING" for c in (
-        "cache_key", "window_start", "window_end", "total_count", "avg_income", "distinct_customers",
-        "fraud_count", "fraud_rate", "top_province"))
-    cache = serving.read_current(spark, f"{folder}/cache", schema, ["cache_key"])
-    return kpi.last_windows_ascending(cache, 20, "cache_key")
+    return cache.current(newest(cache.rows()))

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from levyline.operators.retrieval import Embedder, hashing_embedder, new_records, record_points
+from levyline.functions.text import uuid5
+from levyline.operators.retrieval import Embedder, hashing_embedder, record_points
 from levyline.operators.skew import latest_per_key
-from levyline.sinks.serving import read_batches, read_current, upsert_batch
+from levyline.sinks.keyed import KeyedTable
+from levyline.sinks.serving import upsert_batch
 
 POINT = (
     "application_id STRING, customer_id STRING, taxable_income DOUBLE, employment_type STRING, "
@@ -18,30 +20,33 @@ POINT = (
 POINT_COLUMNS = [part.strip().split(" ")[0] for part in POINT.split(", ")]
 
 
-def collection(spark: SparkSession, path: str) -> DataFrame:
-    return read_current(spark, path, POINT, ["point_id"])
+def points_table(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, POINT, "point_id")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+def collection(spark: SparkSession, path: str) -> DataFrame:
+    return points_table(spark, path).current()
 
 
-def add_new(records: DataFrame, batch_id: int, path: str, embed: Embedder | None = None) -> None:
+def add_new(records: DataFrame, batch_id: int, path: str, embed: Embedder | None = None, stream: str = "sync") -> None:
     """Embed and store the records the collection lacks; the others never reach the embedder.
 
-    Rows an earlier, interrupted attempt of this very batch left behind do not count as present.
+    What the collection has is asked of its filters, so a batch reads little of it however large it is. A batch that was committed
+    before is left out when it comes again.
     """
-    spark = records.sparkSession
+    table = points_table(records.sparkSession, path)
+    at = table.snapshot()
+    if at.done.get(stream, -1) >= batch_id:
+        return
     once = latest_per_key(
         records.where(F.col("application_id").isNotNull()), ["application_id"],
         [F.desc("flink_processed_at")] if "flink_processed_at" in records.columns else [F.desc("application_id")],
-    )
-    if _exists(spark, path):
-        known = read_batches(spark, path, POINT).where(F.col("batch_id") < batch_id)
-        once = new_records(once, known).drop("point_id")
-    points = record_points(once, embed).select(*POINT_COLUMNS)
-    points.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    ).withColumn("point_id", uuid5(F.col("application_id"))).persist()
+    try:
+        points = record_points(table.lacking(once, at).drop("point_id"), embed).select(*POINT_COLUMNS)
+        table.upsert(points, [F.desc("application_id")], (stream, batch_id))
+    finally:
+        once.unpersist()
 
 
 def start_sync(records: DataFrame, path: str, checkpoint: str, name: str = "vector_sync",
@@ -54,14 +59,14 @@ def start_sync(records: DataFrame, path: str, checkpoint: str, name: str = "vect
     return (
         records.writeStream.queryName(name).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "60 seconds"}))
-        .foreachBatch(lambda batch, batch_id: add_new(batch, batch_id, path, embed)).start()
+        .foreachBatch(lambda batch, batch_id: add_new(batch, batch_id, path, embed, name)).start()
     )
 
 
-def load_all(records: DataFrame, path: str, embed: Embedder | None = None, batch_id: int = 0) -> None:
+def load_all(records: DataFrame, path: str, embed: Embedder | None = None) -> None:
     """Full load: upsert all records as one batch."""
     points = record_points(records, embed).select(*POINT_COLUMNS)
-    upsert_batch(points, batch_id, path, ["point_id"], [F.desc("application_id")])
+    points_table(records.sparkSession, path).upsert(points, [F.desc("application_id")])
 
 
 def load_chunks(chunks: DataFrame, path: str, embed: Embedder | None = None, batch_id: int = 0) -> None:

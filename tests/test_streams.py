@@ -210,7 +210,7 @@ def sync(spark, tmp_path):
 
 def test_sync_adds_missing_records_once(spark, sync):
     arrive, run, points = sync
-    vectors.load_all(frame(spark, [filing("a")], FILING), points, retrieval.letter_embedder, batch_id=-1)
+    vectors.load_all(frame(spark, [filing("a")], FILING), points, retrieval.letter_embedder)
     arrive("a", "b", "b", "c")
     embed = Counting()
     run(embed)
