@@ -42,8 +42,8 @@ def cents(column: str) -> str:
 
 
 def half_up(part: str, whole: str) -> str:
-    """part / whole rounded half up, in integers."""
-    return f"((2 * ({part}) + ({whole})) // (2 * ({whole})))"
+    """part / whole rounded half away from zero, in integers."""
+    return f"(CASE WHEN ({part}) < 0 THEN -1 ELSE 1 END * ((2 * abs({part}) + ({whole})) // (2 * ({whole}))))"
 
 
 def mean(column: str) -> str:
