@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,6 +76,25 @@ def written(df: DataFrame, label: str) -> DataFrame:
     lost executor costs nothing but its running tasks. The rebalance gives files of even size,
     few for little data and many for much, and so the number of tasks of each later job.
     """
-    folder = work_folder(df.sparkSession, label)
-    df.hint("rebalance").write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    spark = df.sparkSession
+    folder = work_folder(spark, label)
+    with shuffles_removed(spark):
+        df.hint("rebalance").write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside remove their shuffle files when they end.
+
+    Else executors keep them until the driver collects garbage, and a job of many steps fills their disks with what no step reads again.
+    """
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
