@@ -32,10 +32,11 @@ from levyline.session import work_folder, written
 MAGIC = b"BPLANES1"
 BLOCK = 65_536
 # What a Python worker remembers of units and of words; further ones are encoded each time.
-UNITS, PIECES = 250_000, 100_000
+UNITS, PIECES = 250_000, 400_000
 END_ID = 2
 # The word pattern of byte-level BPE, a fixed value of the vocabulary file's pre-tokenizer.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+MARKS = ".,;:!?"
 _SPACE_RUN = re.compile(r" (?!\S)")
 _UNIT = re.compile(r" (?=\S)")
 _PLAIN = re.compile("[\x00-ɏ]*")  # where every Unicode version has the same letters, digits and spaces
@@ -64,16 +65,21 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         if escape:
             self.tokenizer.encode_special_tokens = True
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (escape and t.special)]
-        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (escape and t.special)]
         self.model, self.pieces, self.letters = self.tokenizer.model, {}, _byte_letters()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _ids(self, text: str) -> bytes:
-        if not _PLAIN.fullmatch(text):
+        if not (text.isascii() or _PLAIN.fullmatch(text)):
             return self._whole(text)
+        if text[:1] == " ":  # most units are a word, or a word and a mark: two pieces that need no pattern
+            if text[1:].isalpha():
+                return self.pieces.get(text) or self._piece(text)
+            if text[-1] in MARKS and text[1:-1].isalpha():
+                word, mark = text[:-1], text[-1]
+                return (self.pieces.get(word) or self._piece(word)) + (self.pieces.get(mark) or self._piece(mark))
         return b"".join([self.pieces.get(p) or self._piece(p) for p in WORDS.findall(text)])
 
     def _piece(self, piece: str) -> bytes:
@@ -90,7 +96,7 @@ class Encoder(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        if self.added.search(text):
+        if any(a in text for a in self.added):
             return self._whole(text)
         units = _UNIT.split(text) if _SPACE_RUN.search(text) else text.split(" ")
         return self._ids(units[0]) + b"".join(map(self.__getitem__, units[1:]))
