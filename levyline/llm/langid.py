@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from levyline.llm.textsets import mix, small_batches
+from levyline.llm.textsets import map_rows, mix, small_batches
 from levyline.session import written
 
 DIMS = 1024
@@ -338,4 +338,4 @@ def accepted(docs: DataFrame, quantile: float = QUANTILE, sample: int = SAMPLE)
                 kept[first:first + 256] = (lengths > 0) & (scores >= least[:, length_class(vectors, totals)].T).any(axis=1)
             yield batch.filter(pa.array(kept))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_rows(docs, keep)

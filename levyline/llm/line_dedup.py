@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from levyline.llm.components import components
 from levyline.llm.decontaminate import qgrams
 from levyline.llm.keyfilter import maybe_among
-from levyline.llm.ngram_join import Threshold, blocks, verified_links
-from levyline.llm.textsets import mix, small_batches, text_slices
+from levyline.llm.ngram_join import Threshold, blocks, seats, verified_links
+from levyline.llm.textsets import free_names, mix, small_batches, text_slices
 from levyline.session import written
 
 Q = 5
@@ -137,14 +137,14 @@ def _lines(batches) -> Iterator[pa.RecordBatch]:
 
 
 def _wanted_lines(batches) -> Iterator[pa.RecordBatch]:
-    """(family, block, rep, n, tokens) of the wanted lines of each text, as they stand there."""
+    """(family, a, b, side, rep, tokens) of the wanted lines of each text, as they stand there."""
     for batch in batches:
         rows = []
         for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             lines = text.split("\n")
-            rows += [(w["family"], w["block"], w["rep"], w["n"], lines[w["line"]].encode()) for w in wanted]
-        numbers = [pa.array([r[i] for r in rows], pa.int64()) for i in range(4)]
-        yield pa.RecordBatch.from_arrays([*numbers, pa.array([r[4] for r in rows], pa.binary())], names=["family", "block", "rep", "n", "tokens"])
+            rows += [(w["family"], w["a"], w["b"], w["side"], w["rep"], lines[w["line"]].encode()) for w in wanted]
+        numbers = [pa.array([r[i] for r in rows], pa.int64()) for i in range(5)]
+        yield pa.RecordBatch.from_arrays([*numbers, pa.array([r[5] for r in rows], pa.binary())], names=["family", "a", "b", "side", "rep", "tokens"])
 
 
 def _line_set(line: bytes) -> np.ndarray:
@@ -168,10 +168,11 @@ def dropped_lines(docs: DataFrame, label: str = "lines") -> DataFrame:
     one = lines.filter("size(bands) > 0").groupBy("h1", "n").agg(F.min(F.struct("key", "line")).alias("at"))
     members = one.join(near, one.h1 == near.node).select("family", F.col("h1").alias("rep"), "n", "at.key", "at.line")
     placed = written(blocks(members), f"{label}-blocks")
-    wanted = placed.groupBy("key").agg(F.collect_list(F.struct("family", "block", "rep", "n", "line")).alias("wanted"))
+    side = F.col("side").cast("long").alias("side")
+    wanted = seats(placed, SIMILAR).groupBy("key").agg(F.collect_list(F.struct("family", "a", "b", side, "rep", "line")).alias("wanted"))
     near = texts.filter(maybe_among(placed.select("key"))(F.col("key")))
-    rows = near.join(wanted, "key").select("text", "wanted").mapInArrow(_wanted_lines, "family long, block long, rep long, n long, tokens binary")
-    links = verified_links(rows, SIMILAR, label, _line_set)
+    rows = near.join(wanted, "key").select("text", "wanted").mapInArrow(_wanted_lines, "family long, a long, b long, side long, rep long, tokens binary")
+    links = verified_links(rows, SIMILAR, _line_set)
     roots = components(links, f"{label}-links")
     ids = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key")).distinct()
     ranked = lines.select("key", "line", "h1").join(ids, "key").join(roots, F.col("h1") == roots.node, "left")
@@ -183,20 +184,24 @@ def dropped_lines(docs: DataFrame, label: str = "lines") -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, label: str = "lines") -> DataFrame:
-    """The rows of `docs`, with all their columns, without lines that are like an earlier one; adds n_lines and n_lost.
+    """The rows of `docs`, with all their columns, without lines that are like an earlier one; adds n_lines and n_lost, which
+    take the place of columns of these names.
 
     Blank lines stay. A text keeps its other lines in order, and is empty if it loses all. Null texts stay null. Rows alike
     in doc_id and text are one document and lose the same lines.
     """
     lost = written(dropped_lines(docs, label).filter("size(lost) > 0"), f"{label}-lost")
-    lost = lost.select(F.col("key").alias("l_key"), "lost")
-    own = docs.withColumn("l_own", F.xxhash64("doc_id", "text")).withColumn("l_open", maybe_among(lost.select("l_key"))(F.col("l_own")))
+    own_key, open_, key, gone = free_names(docs, "own", "open", "key", "lost")
+    lost = lost.select(F.col("key").alias(key), F.col("lost").alias(gone))
+    own = docs.withColumn(own_key, F.xxhash64("doc_id", "text")).withColumn(open_, maybe_among(lost.select(key))(F.col(own_key)))
+    none = F.array().cast("array<bigint>")
     # documents that lose nothing need no shuffle
-    whole = own.filter("NOT l_open").withColumn("lost", F.array().cast("array<bigint>"))
-    cut = own.filter("l_open").join(lost, F.col("l_own") == F.col("l_key"), "left").withColumn("lost", F.coalesce("lost", F.array().cast("array<bigint>")))
-    rows = whole.unionByName(cut.drop("l_key"))
-    kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("lost", i.cast("bigint")))
-    text = F.when(F.size("lost") > 0, F.array_join(kept, "\n")).otherwise(F.col("text"))
+    whole = own.filter(~F.col(open_)).withColumn(gone, none)
+    cut = own.filter(open_).join(lost, F.col(own_key) == F.col(key), "left").withColumn(gone, F.coalesce(gone, none))
+    rows = whole.unionByName(cut.drop(key))
+    kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains(gone, i.cast("bigint")))
+    text = F.when(F.size(gone) > 0, F.array_join(kept, "\n")).otherwise(F.col("text"))
     filled = F.regexp_count("text", F.lit(r"[^ \t\x0b\x0c\r\n][^\n]*"))
-    counts = [F.coalesce(filled, F.lit(0)).cast("long").alias("n_lines"), F.size("lost").cast("long").alias("n_lost")]
-    return rows.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], *counts)
+    counts = [F.coalesce(filled, F.lit(0)).cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_lost")]
+    others = [c for c in docs.columns if c not in ("n_lines", "n_lost")]
+    return rows.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in others], *counts)

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from levyline.llm.textsets import free_names, own_columns
 from levyline.session import written
 
 BLOCK = 128  # documents that meet in one block
@@ -148,9 +149,10 @@ def repeated(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float
     """The rows of `docs`, with all their columns, each as often as the mix takes it. Rows without words are not taken."""
     rows = _mixed(docs, weights, share, most, seed).filter("size > 0")
     # rows alike in id and text share their copies evenly
-    per_key = rows.groupBy(F.xxhash64("doc_id", "tie").alias("key")).agg(F.sum("copies").alias("copies"), F.count("*").alias("alike"))
-    keyed = docs.withColumn("key", F.xxhash64("doc_id", F.xxhash64("text"))).join(per_key, "key")
-    nth = F.row_number().over(Window.partitionBy("key").orderBy("source"))
-    own = F.floor(F.col("copies") / F.col("alike")) + F.when(nth <= F.col("copies") % F.col("alike"), 1).otherwise(0)
-    many = keyed.withColumn("times", own).filter("times > 0")
-    return many.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(*docs.columns)
+    key, copies, alike, times, time = free_names(docs, "key", "copies", "alike", "times", "time")
+    per_key = rows.groupBy(F.xxhash64("doc_id", "tie").alias(key)).agg(F.sum("copies").alias(copies), F.count("*").alias(alike))
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", F.xxhash64("text"))).join(per_key, key)
+    nth = F.row_number().over(Window.partitionBy(key).orderBy("source"))
+    own = F.floor(F.col(copies) / F.col(alike)) + F.when(nth <= F.col(copies) % F.col(alike), 1).otherwise(0)
+    many = keyed.withColumn(times, own).filter(F.col(times) > 0)
+    return many.withColumn(time, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select(*own_columns(docs))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from levyline.llm.components import components
 from levyline.llm.keyfilter import maybe_among
-from levyline.llm.textsets import mix, set_hash, small_batches, word_sets
+from levyline.llm.textsets import free_names, mix, own_columns, set_hash, small_batches, word_sets
 from levyline.session import written
 
 DIMS = 64
@@ -200,15 +200,17 @@ def _as_set(tokens: bytes) -> np.ndarray:
     return np.frombuffer(tokens, np.uint64)
 
 
-def verified_links(members: DataFrame, t: Threshold, label: str, decode: Callable[[bytes], np.ndarray] = _as_set) -> DataFrame:
-    """Links (u, v) between members (family, rep, n, tokens, block) that hold exactly; `decode` makes a set of tokens, a binary."""
-    members = written(members, f"{label}-members")
-    pairs = meeting_blocks(members, t)
+def seats(placed: DataFrame, t: Threshold) -> DataFrame:
+    """placed (family, rep, n, block, ...) with the cells (family, a, b) and the side in which each row meets others; without tokens, so light."""
     sides = F.array_distinct(F.array(F.struct(F.col("a").alias("block"), F.lit(0).alias("side")),
                                      F.struct(F.col("b").alias("block"), (F.col("a") != F.col("b")).cast("int").alias("side"))))
+    pairs = meeting_blocks(placed, t)
     places = pairs.withColumn("place", F.explode(sides)).select("family", "a", "b", "place.block", "place.side")
-    rows = members.join(places, ["family", "block"]).select("family", "a", "b", "side", "rep", "tokens")
+    return placed.join(places, ["family", "block"])
 
+
+def verified_links(rows: DataFrame, t: Threshold, decode: Callable[[bytes], np.ndarray] = _as_set) -> DataFrame:
+    """Links (u, v) between rows (family, a, b, side, rep, tokens) that hold exactly; `decode` makes a set of tokens, a binary."""
     # whole cells lie in a task, one after the other; a call per cell would cost more than most cells
     cells = rows.repartition("family", "a", "b").sortWithinPartitions("family", "a", "b")
 
@@ -280,7 +282,8 @@ def _components_of_rows(docs: DataFrame, words: int, t: Threshold, label: str) -
     named = near.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
     chosen = named.unionByName(texts.filter("doc_id IS NULL").select("doc_id", "text"))
     with_tokens = chosen.mapInArrow(tokens, "rep long, n long, tokens binary")
-    links = verified_links(placed.join(with_tokens, ["rep", "n"]).select("family", "block", "rep", "n", "tokens"), t, label)
+    # tokens travel twice: to their seats, and to the cells of these
+    links = verified_links(seats(placed, t).join(with_tokens, ["rep", "n"]).select("family", "a", "b", "side", "rep", "tokens"), t)
     # copies, and rows that share an id
     low = reps.select("h1", "h2", F.col("rep").alias("v"))
     same = filled.join(low, ["h1", "h2"]).filter("number <> v").select(F.col("number").alias("u"), "v")
@@ -313,9 +316,10 @@ def one_per_component(docs: DataFrame, words: int = 5, num: int = 80, den: int =
     # documents that share their component with no other row need no decision, and no shuffle
     shared = rows.join(kept.filter("n > 1"), "root").select("key")
     among = maybe_among(shared)
-    keyed = docs.withColumn("key", F.xxhash64("doc_id", "text")).withColumn("open", among(F.col("key")))
-    alone = keyed.filter("NOT open").select(*docs.columns)
-    kept_keys = kept.select(F.col("kept_key").alias("key")).distinct()
-    left = keyed.filter("open").join(kept_keys, "key", "left_semi")
-    nth = F.row_number().over(Window.partitionBy("key").orderBy("doc_id"))
-    return alone.unionByName(left.withColumn("nth", nth).filter("nth = 1").select(*docs.columns))
+    key, open_, nth = free_names(docs, "key", "open", "nth")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text")).withColumn(open_, among(F.col(key)))
+    alone = keyed.filter(~F.col(open_)).select(*own_columns(docs))
+    kept_keys = kept.select(F.col("kept_key").alias(key)).distinct()
+    left = keyed.filter(open_).join(kept_keys, key, "left_semi")
+    place = F.row_number().over(Window.partitionBy(key).orderBy("doc_id"))
+    return alone.unionByName(left.withColumn(nth, place).filter(F.col(nth) == 1).select(*own_columns(docs)))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 250_000  # text handled at once, so that its arrays stay in the cache; a longer document is handled alone
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -26,6 +27,27 @@ def small_batches(docs: DataFrame) -> None:
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """Names for inner columns that no column of `docs` has, whatever a user called theirs."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out
+
+
+def own_columns(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
+def map_rows(docs: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """mapInArrow to rows of the same columns, whatever their names hold: inside they are numbered."""
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    return plain.mapInArrow(function, plain.schema).toDF(*docs.columns)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

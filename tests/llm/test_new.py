@@ -9,7 +9,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from levyline.llm import audit_path, conversation_repair, lattice, prefix_trie, queries
+from levyline.llm import (
+    audit_path, conversation_repair, decontaminate, langid, lattice, line_dedup, mixing, ngram_join, prefix_trie, queries,
+)
 
 TURNS = "conv_id long, turn long, role string, text string"
 SPACES = " \t\n\x0b\x0c\r"
@@ -335,3 +337,29 @@ def test_pairs_at_the_threshold_are_found():
         far = np.bitwise_count(signs[0] ^ signs[1]).sum(axis=1)
         assert ((table < tables) & (far <= lattice.FAR)).mean() >= 0.997
         assert tables <= 16
+
+
+INNER = (
+    "key copies alike times time tie size base p source_ open nth own lost l_own l_open n_lines n_lost family block rep n h1 h2 number root node "
+    "label cell posting tokens a b side kept_key first place target taken id text_ lang_ lang_pred score segment item_id edits"
+).split()
+
+
+def test_inner_names_as_extra_columns(spark):
+    """Every stage and operator that gives back the rows of a user leaves columns of any name as they are."""
+    texts = ["\n".join(f"a line of text number {j} in document {i // 2}" for j in range(4)) for i in range(6)] + [None, ""]
+    names = ["doc_id", "text", "source", "lang", *INNER, "with.dot"]
+    rows = [(i, t, "s", "en", *(f"{n}-{i}" for n in [*INNER, "with.dot"])) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, ", ".join(f"`{n}` " + ("long" if n == "doc_id" else "string") for n in names))
+    benchmark = spark.createDataFrame([(1, "nothing of this kind stands in any of the texts")], "item_id long, text string")
+    stages = {
+        "mix": mixing.repeated(docs), "copies": ngram_join.one_per_component(docs), "lines": line_dedup.without_repeats(docs),
+        "leaks": decontaminate.without_leaks(docs, benchmark), "language": langid.accepted(docs),
+    }
+    for stage, out in stages.items():
+        added = {"n_lines", "n_lost"} if stage == "lines" else set()
+        assert set(out.columns) == set(names) and len(out.columns) == len(names), stage
+        got = out.collect()
+        assert got, stage
+        for r in got:
+            assert all(r[n] == f"{n}-{r.doc_id}" for n in [*INNER, "with.dot"] if n not in added), stage
