@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from levyline.llm.textsets import small_batches, text_slices
+from levyline.llm.textsets import map_rows, small_batches, text_slices
 from levyline.session import written
 
 Q = 8  # eight bytes are one 64-bit number
@@ -203,6 +203,26 @@ def aligned_windows(
     return cost[each, end], start[each, end], length + base[each, end]
 
 
+def exact_window(
+    segment: bytes, starts: np.ndarray, length: int, data: np.ndarray, low: int, width: int,
+) -> tuple[int, int] | None:
+    """Where the first of the windows lies in `data` without any edit, on the first of the diagonals on which it does; or None.
+
+    It is what `aligned_windows` gives for a window without edits, found by runs of equal characters alone.
+    """
+    letters = np.frombuffer(segment, np.uint8)
+    places = np.arange(len(letters)) + low + np.arange(width)[:, None]
+    inside = (places >= 0) & (places < len(data))
+    same = inside & (data[np.clip(places, 0, len(data) - 1)] == letters)
+    sums = np.concatenate([np.zeros((width, 1), np.int64), same.cumsum(axis=1)], axis=1)
+    whole = sums[:, starts + length] - sums[:, starts] == length
+    windows = np.flatnonzero(whole.any(axis=0))
+    if not len(windows):
+        return None
+    start = int(starts[windows[0]]) + low + int(whole[:, windows[0]].argmax())
+    return start, start + length
+
+
 def leaks_in(column: pa.Array, index: Index) -> Iterator[tuple[int, int, int, int, int]]:
     """(row, item position in `index.items`, start, end, edits) of one leak per row and item; start and end in code points."""
     if not index.segments:
@@ -224,8 +244,13 @@ def leaks_in(column: pa.Array, index: Index) -> Iterator[tuple[int, int, int, in
                 item = int(index.items[o])
                 if item in done:
                     continue
-                found = aligned_windows(index.segments[o], windows, int(index.lengths[o]), text, low, 2 * (2 * int(index.edits[o]) + 1))
-                edits, start, stop = (int(x[found[0].argmin()]) for x in found)
+                band = index.segments[o], windows, int(index.lengths[o]), text, low, 2 * (2 * int(index.edits[o]) + 1)
+                exact = exact_window(*band)  # most leaks are copies
+                if exact is not None:
+                    edits, start, stop = 0, *exact
+                else:
+                    found = aligned_windows(*band)
+                    edits, start, stop = (int(x[found[0].argmin()]) for x in found)
                 if edits <= index.edits[o]:
                     done.add(item)
                     base = data[offsets[i]:offsets[i + 1]]
@@ -295,5 +320,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 kept[[f[0] for f in leaks_in(batch.column(place), shared.value)]] = False
                 yield batch.filter(pa.array(kept))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = map_rows(docs, keep)
     return docs
