@@ -19,6 +19,7 @@ from levyline.session import written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TRAIN_ROWS = 20_000  # documented bound of the labelled sample
+FOLDS = 5  # of hosts; a training row's suffix rate comes from the other folds
 PRIOR_ROWS = 5.0  # weight of the overall block rate in a suffix's rate
 FEATURES = [
     "url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "hyphens", "entropy", "parameters",
@@ -95,15 +96,24 @@ def lexical(pages: DataFrame) -> DataFrame:
     })
 
 
-def _with_suffix_rates(rows: DataFrame, stats: DataFrame, overall: float, own: Column | None = None) -> DataFrame:
-    """Block rate and row count of the suffix among the labelled rows; `own` is left out of a labelled row's rate."""
+def _fold(host: Column) -> Column:
+    return F.pmod(F.xxhash64(host), F.lit(FOLDS))
+
+
+def _with_suffix_rates(rows: DataFrame, stats: DataFrame, overall: float, folds: DataFrame | None = None) -> DataFrame:
+    """Block rate and row count of the suffix among the labelled rows.
+
+    With `folds` (suffix, fold, f_rows, f_blocked) the rows are training rows, and each gets the rate of the other folds: a
+    rate that holds a row's own label, or leaves just that one out, would tell the label.
+    """
     joined = rows.join(stats, "suffix", "left")
     n, blocked = F.coalesce("n_rows", F.lit(0)), F.coalesce("n_blocked", F.lit(0))
-    if own is not None:
-        n, blocked = n - 1, blocked - own
+    if folds is not None:
+        joined = joined.withColumn("fold", _fold(F.col("host"))).join(folds, ["suffix", "fold"], "left")
+        n, blocked = n - F.coalesce("f_rows", F.lit(0)), blocked - F.coalesce("f_blocked", F.lit(0))
     return joined.withColumns({
         "suffix_rate": (blocked + F.lit(PRIOR_ROWS * overall)) / (n + F.lit(PRIOR_ROWS)), "suffix_rows": F.log1p(n.cast("double")),
-    }).drop("n_rows", "n_blocked")
+    }).drop("n_rows", "n_blocked", "f_rows", "f_blocked", "fold")
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], train_rows: int = TRAIN_ROWS, trees: int = 20, depth: int = 4) -> DataFrame:
@@ -119,8 +129,10 @@ def judge(pages: DataFrame, rules: Sequence[Rule], train_rows: int = TRAIN_ROWS,
     decided = verdict_of[F.col("rule")] if rules else F.lit(None).cast("string")
     out = base.withColumn("decided", decided)
     labelled = out.filter("rule IS NOT NULL").withColumn("label", (F.col("decided") == "block").cast("double"))
-    counted = labelled.groupBy(suffix_of(F.col("host")).alias("suffix")).agg(F.count("*").alias("n_rows"), F.sum("label").alias("n_blocked"))
-    stats = written(counted, "url-suffixes")  # as many as there are suffixes: Spark chooses the join
+    counted = labelled.groupBy(suffix_of(F.col("host")).alias("suffix"), _fold(F.col("host")).alias("fold")).agg(
+        F.count("*").alias("f_rows"), F.sum("label").alias("f_blocked"))
+    folds = written(counted, "url-folds")  # a few rows per suffix: Spark chooses the joins
+    stats = written(folds.groupBy("suffix").agg(F.sum("f_rows").alias("n_rows"), F.sum("f_blocked").alias("n_blocked")), "url-suffixes")
     n, blocked = stats.agg(F.coalesce(F.sum("n_rows"), F.lit(0)), F.coalesce(F.sum("n_blocked"), F.lit(0.0))).first()
     if not 0 < blocked < n:
         return out.select("page_id", "host", "path", "rule", F.coalesce("decided", F.lit("allow")).alias("verdict"),
@@ -130,7 +142,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], train_rows: int = TRAIN_ROWS,
     sample = labelled.orderBy(F.xxhash64("url", "page_id"), "page_id", "url").limit(train_rows)
     train = written(lexical(sample), "url-train")
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    ready = assemble.transform(_with_suffix_rates(train, stats, overall, F.col("label"))).select("features", "label")
+    ready = assemble.transform(_with_suffix_rates(train, stats, overall, folds)).select("features", "label")
     model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, subsamplingRate=0.8).fit(ready)
     open_rows = _with_suffix_rates(lexical(out.filter("rule IS NULL")), stats, overall)
     scored = model.transform(assemble.transform(open_rows)).select(

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 
 from levyline.llm import (
     audit_path, conversation_repair, decontaminate, langid, lattice, line_dedup, mixing, ngram_join, prefix_trie, queries,
+    urls,
 )
 
 TURNS = "conv_id long, turn long, role string, text string"
@@ -363,3 +364,20 @@ def test_inner_names_as_extra_columns(spark):
         assert got, stage
         for r in got:
             assert all(r[n] == f"{n}-{r.doc_id}" for n in [*INNER, "with.dot"] if n not in added), stage
+
+
+def test_lexical_features_decide_where_suffixes_do_not(spark):
+    """One suffix for all: blocked URLs have many digits and parameters, allowed ones words. Unlabelled URLs of both kinds follow."""
+    rng = np.random.default_rng(4)
+    rules = (urls.Rule("block", "net/b/"), urls.Rule("allow", "net/a/"))
+
+    def url(kind, folder):
+        word = lambda letters, n: "".join(rng.choice(list(letters), n))
+        tail = word("0123456789abcdef", 24) + "?" + "&".join(f"p{i}={word('0123456789', 6)}" for i in range(rng.integers(2, 6)))
+        return f"http://h{rng.integers(10**6)}.site.net/{folder}/" + (tail if kind else word("aeioulmnrst", int(rng.integers(4, 30))))
+
+    kinds = rng.integers(0, 2, 900)
+    rows = [(i, url(k, ("x" if i >= 600 else "b" if k else "a"))) for i, k in enumerate(kinds.tolist())]
+    got = {r.page_id: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    open_rows = [i for i, _ in rows if i >= 600]
+    assert np.mean([(got[i].verdict == "block") == bool(kinds[i]) for i in open_rows]) >= 0.95
