@@ -96,7 +96,7 @@ FROM {events}
 
 # documents as markdown files: every line after the first opens a section named by its first word
 MARKDOWN_SQL = """
-SELECT CASE WHEN doc_id % 50 = 0 THEN 'README.md' ELSE concat('doc-', doc_id, '.md') END AS file,
+SELECT concat('doc-', doc_id, '.md') AS file,
        concat('# ', lang, chr(10), 'Authority:  ', source, ' ', chr(10),
               replace(replace(text, chr(13), ''), concat('.', chr(10)),
                       concat('.', chr(10), chr(10), '## Part ', lang, ' ', chr(10), chr(10), 'Source: ', source, chr(10),
