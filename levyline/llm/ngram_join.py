@@ -3,13 +3,15 @@
 1. Routing. |A| + |B| - 2|A n B| tells in how many places two sets differ; at similarity t and sizes up to U that is at most
    d = (1-t)/(1+t) * 2U. Hashes cut every set into G = d + 1 + e groups, of which two linked sets share e + 1 at least. A set
    posts a hash of each group but its e smallest ones: the largest shared group is then posted by both, so no link is lost.
-   Sets that share a posting, directly or over others, form a family; all links lie inside families.
-2. Count vectors. Inside a family every set is a point: how many of its tokens fall into each of `DIMS` groups. Families are
-   cut into blocks in order of size, so that a block has a bounded number of tokens, and blocks of comparable sizes meet.
+   Of postings that the same sets share, one is enough.
+2. Count vectors. Every set is a point: how many of its tokens fall into each of some groups, four tokens to a group about.
+   Points that share a posting meet. Groups of points are cut into blocks in order of size, so that a block has a bounded
+   number of tokens, and blocks of comparable sizes meet.
 3. R-tree. Points of a block are packed into leaves by size and position; a leaf keeps its largest coordinates and its
-   smallest size. The sum of the smaller coordinates bounds the overlap, first with a leaf, then with a point.
-4. Pairs that survive are compared exactly, unless links found before already connect them. Only a spanning forest
-   leaves a task.
+   smallest size. The sum of the smaller coordinates bounds the overlap, first with a leaf, then with a point. Points
+   within the bound, directly or over others, form a family; all links lie inside families.
+4. Only now sets travel: those of a family meet in the same way, and pairs that survive are compared exactly, unless links
+   found before already connect them. Only a spanning forest leaves a task.
 
 Equal sets are one point: copies never meet in pairs.
 """
@@ -30,8 +32,8 @@ from levyline.llm.keyfilter import maybe_among
 from levyline.llm.textsets import free_names, mix, own_columns, set_hash, small_batches, word_sets
 from levyline.session import written
 
-DIMS = 64
 LEAF = 32
+MOST_DIMS = 1024
 BLOCK_TOKENS = 4_000_000
 _NO_ID = 2**62  # numbers from here on stand for documents without an id
 
@@ -89,6 +91,7 @@ def postings(found: np.ndarray, t: Threshold) -> np.ndarray:
 
 
 Sets = Callable[[pa.RecordBatch], Iterator[np.ndarray]]
+Pairs = Callable[[list[np.ndarray], np.ndarray, bool, Threshold], list[tuple[int, int]]]
 
 
 def _post(sets_of: Sets, t: Threshold):
@@ -120,13 +123,29 @@ def _posted(keys: list[np.ndarray], nodes: list[int]) -> pa.RecordBatch:
         [pa.array(np.concatenate(keys)), pa.array(np.repeat(np.array(nodes, np.int64), lengths))], names=["posting", "node"])
 
 
-def families(units: DataFrame, sets_of: Sets, t: Threshold, label: str) -> DataFrame:
-    """node, family of every set (by the first half of its hash) that shares a posting with another one."""
+def shared_postings(units: DataFrame, sets_of: Sets, t: Threshold, label: str) -> DataFrame:
+    """posting, node of the postings that more than one set has; of postings with the same sets only one."""
     posted = units.mapInArrow(_post(sets_of, t), "posting long, node long")
-    first = F.first("node").over(Window.partitionBy("posting").orderBy("node").rowsBetween(Window.unboundedPreceding, 0))
-    links = posted.withColumn("low", first).filter("low <> node").select("node", "low")
-    found = components(links, f"{label}-families")
-    return found.unionByName(found.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("root", "family")
+    order = Window.partitionBy("posting").orderBy("node")
+    # the same set may come from several partitions: the last of its rows stays
+    around = posted.withColumn("after", F.lead("node").over(order)).withColumn("low", F.min("node").over(order))
+    met = written(around.filter("after <> node OR after IS NULL AND low <> node").select("posting", "node"), f"{label}-met")
+    names = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"x{i}") for i in range(2)]
+    alike = met.groupBy("posting").agg(*names, F.count("*").alias("sets"))
+    one = alike.groupBy("x0", "x1", "sets").agg(F.min("posting").alias("posting"))
+    return met.join(one.select("posting"), "posting", "left_semi")
+
+
+def families(units: DataFrame, reps: DataFrame, sets_of: Sets, t: Threshold, label: str) -> DataFrame:
+    """family, rep, n of every set of `reps` (h1, rep, n, point) whose point is within the bound of another one that shares a posting."""
+    met = shared_postings(units, sets_of, t, label).select(F.col("posting").alias("family"), F.col("node").alias("h1"))
+    placed = written(blocks(met.join(reps.select("h1", "rep", "n"), "h1")), f"{label}-cells")
+    points = reps.select("h1", F.col("point").alias("tokens"))
+    cells = seats(placed, t).join(points, "h1").select("family", "a", "b", "side", "rep", "tokens")
+    found = components(verified_links(cells, t, as_point, bounded_pairs), f"{label}-families")
+    found = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
+    named = found.select(F.col("root").alias("family"), F.col("node").alias("rep"))
+    return named.join(reps.select("rep", "n"), "rep").select("family", "rep", "n")
 
 
 def blocks(members: DataFrame) -> DataFrame:
@@ -149,8 +168,31 @@ def meeting_blocks(placed: DataFrame, t: Threshold) -> DataFrame:
     return a.join(b, "family").filter(near | alone).select("family", "a", "b")
 
 
-def point(found: np.ndarray) -> np.ndarray:
-    return np.bincount((found & np.uint64(DIMS - 1)).astype(np.int64), minlength=DIMS)
+def point(found: np.ndarray, dims: int = 64) -> np.ndarray:
+    """How many tokens fall into each group; `dims` is a power of two."""
+    return np.bincount((found & np.uint64(dims - 1)).astype(np.int64), minlength=dims)
+
+
+def dims_of(size: int) -> int:
+    """A group for every four tokens about: fewer tell unlike sets not apart, more make points as large as sets."""
+    return min(MOST_DIMS, max(64, 1 << (max(size, 1) // 4).bit_length()))
+
+
+def point_bytes(found: np.ndarray) -> bytes:
+    """The point of a set as bytes: the width of a count, then the counts."""
+    counts = point(found, dims_of(len(found)))
+    width = 1 if counts.max() < 2**8 else 4
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def as_point(kept: bytes) -> np.ndarray:
+    return np.frombuffer(kept, f"<u{kept[0]}", offset=1).astype(np.int64)
+
+
+def folded(points: list[np.ndarray]) -> np.ndarray:
+    """Points with the groups of the one that has fewest."""
+    dims = min(len(p) for p in points)
+    return np.stack([p.reshape(-1, dims).sum(axis=0) for p in points])
 
 
 class RTree:
@@ -175,27 +217,45 @@ class RTree:
         return self.order[at[fits]]
 
 
-def linked_pairs(sets: list[np.ndarray], side: np.ndarray, same: bool, t: Threshold) -> list[tuple[int, int]]:
-    """A spanning forest of the links between both sides (`same`: among all) as pairs of positions."""
-    sizes = np.array([len(s) for s in sets], np.int64)
-    points = np.stack([point(s) for s in sets])
-    right = np.arange(len(sets)) if same else np.flatnonzero(side == 1)
-    left = np.arange(len(sets)) if same else np.flatnonzero(side == 0)
+def _forest(points: np.ndarray, sizes: np.ndarray, side: np.ndarray, same: bool, t: Threshold,
+            holds: Callable[[int, int], bool] | None) -> list[tuple[int, int]]:
+    """A spanning forest, as pairs of positions, of the pairs of both sides (`same`: of all) within the bound for which `holds` holds."""
+    right = np.arange(len(sizes)) if same else np.flatnonzero(side == 1)
+    left = np.arange(len(sizes)) if same else np.flatnonzero(side == 0)
     if not len(right) or not len(left):
         return []
-    tree, label, out = RTree(points[right], sizes[right]), np.arange(len(sets)), []
+    tree, label, out = RTree(points[right], sizes[right]), np.arange(len(sizes)), []
     for i in left.tolist():
+        if len(out) == len(sizes) - 1:
+            break
         near = right[tree.near(points[i], int(sizes[i]), t)]
         for j in near[label[near] != label[i]].tolist():
             if label[j] == label[i] or same and j <= i:
                 continue
-            common = int(np.isin(sets[i], sets[j], assume_unique=True, kind="sort").sum())
-            if t.den * common >= t.num * (sizes[i] + sizes[j] - common):
+            if holds is None or holds(i, j):
                 out.append((i, j))
                 label[label == label[j]] = label[i]
     return out
 
 
+def linked_pairs(sets: list[np.ndarray], side: np.ndarray, same: bool, t: Threshold) -> list[tuple[int, int]]:
+    """A spanning forest of the links between both sides (`same`: among all) as pairs of positions."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+
+    def holds(i: int, j: int) -> bool:
+        common = int(np.isin(sets[i], sets[j], assume_unique=True, kind="sort").sum())
+        return t.den * common >= t.num * (sizes[i] + sizes[j] - common)
+
+    dims = dims_of(int(sizes.min()))
+    return _forest(np.stack([point(s, dims) for s in sets]), sizes, side, same, t, holds)
+
+
+def bounded_pairs(points: list[np.ndarray], side: np.ndarray, same: bool, t: Threshold) -> list[tuple[int, int]]:
+    """The same of the pairs whose points allow a link."""
+    flat = folded(points)
+    return _forest(flat, flat.sum(axis=1), side, same, t, None)
+
+
 def _as_set(tokens: bytes) -> np.ndarray:
     return np.frombuffer(tokens, np.uint64)
 
@@ -209,42 +269,50 @@ def seats(placed: DataFrame, t: Threshold) -> DataFrame:
     return placed.join(places, ["family", "block"])
 
 
-def verified_links(rows: DataFrame, t: Threshold, decode: Callable[[bytes], np.ndarray] = _as_set) -> DataFrame:
-    """Links (u, v) between rows (family, a, b, side, rep, tokens) that hold exactly; `decode` makes a set of tokens, a binary."""
+def verified_links(rows: DataFrame, t: Threshold, decode: Callable[[bytes], np.ndarray] = _as_set, pairs: Pairs = linked_pairs) -> DataFrame:
+    """Links (u, v) between rows (family, a, b, side, rep, tokens) that `pairs` finds; `decode` makes a set of tokens, a binary."""
     # whole cells lie in a task, one after the other; a call per cell would cost more than most cells
     cells = rows.repartition("family", "a", "b").sortWithinPartitions("family", "a", "b")
 
     def meet(batches):
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            held.append(batch)
-            table = pa.Table.from_batches(held)
-            cuts = _cell_starts(table)
-            if len(cuts) > 1:
-                yield _links_of(table.slice(0, int(cuts[-1])), t, decode)
-                held = table.slice(int(cuts[-1])).to_batches()
+            cuts = _cell_starts(batch)
+            if len(cuts) and held and _cell(batch, 0) != _cell(held[-1], 0):
+                yield _links_of(pa.Table.from_batches(held), t, decode, pairs)
+                held = []
+            if len(cuts) > 1:  # what is held ends in this batch
+                last = int(cuts[-1])
+                yield _links_of(pa.Table.from_batches([*held, batch.slice(0, last)]), t, decode, pairs)
+                held, batch = [], batch.slice(last)
+            if batch.num_rows:
+                held.append(batch)
         if held:
-            yield _links_of(pa.Table.from_batches(held), t, decode)
+            yield _links_of(pa.Table.from_batches(held), t, decode, pairs)
 
     return cells.mapInArrow(meet, "u long, v long")
 
 
-def _cell_starts(table: pa.Table) -> np.ndarray:
+def _cell(batch: pa.RecordBatch, row: int) -> tuple[int, ...]:
+    return tuple(batch.column(c)[row].as_py() for c in ("family", "a", "b"))
+
+
+def _cell_starts(table: pa.Table | pa.RecordBatch) -> np.ndarray:
     keys = np.stack([table.column(c).to_numpy() for c in ("family", "a", "b")])
     return np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])) if keys.shape[1] else np.zeros(0, int)
 
 
-def _links_of(table: pa.Table, t: Threshold, decode: Callable[[bytes], np.ndarray]) -> pa.RecordBatch:
+def _links_of(table: pa.Table, t: Threshold, decode: Callable[[bytes], np.ndarray], pairs: Pairs) -> pa.RecordBatch:
     """Links inside every cell of a table of whole cells."""
     starts, links = _cell_starts(table), []
     a, b, side, rep = (table.column(c).to_numpy() for c in ("a", "b", "side", "rep"))
     tokens = table.column("tokens").to_pylist()
     for first, last in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows], strict=False):
         rows = list({(side[i], rep[i], tokens[i]): i for i in range(first, last)}.values())
-        found = linked_pairs([decode(tokens[i]) for i in rows], side[rows], bool(a[first] == b[first]), t)
+        found = pairs([decode(tokens[i]) for i in rows], side[rows], bool(a[first] == b[first]), t)
         links += [(rep[rows[i]], rep[rows[j]]) for i, j in found]
-    pairs = np.array(links, np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["u", "v"])
+    both = np.array(links, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["u", "v"])
 
 
 def _components_of_rows(docs: DataFrame, words: int, t: Threshold, label: str) -> DataFrame:
@@ -254,18 +322,24 @@ def _components_of_rows(docs: DataFrame, words: int, t: Threshold, label: str) -
 
     def classes(batches):
         for batch in batches:
-            rows = np.array([(len(s), *set_hash(s)) for s in word_sets(batch.column(1), words)], np.int64).reshape(-1, 3)
+            numbers, points = [], []
+            for found in word_sets(batch.column(1), words):
+                numbers.append((len(found), *set_hash(found)))
+                points.append(point_bytes(found) if len(found) else None)
+            rows = np.array(numbers, np.int64).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), *(pa.array(rows[:, i].copy()) for i in range(3))], names=["doc_id", "key", "n", "h1", "h2"])
+                [batch.column(0), batch.column(2), *(pa.array(rows[:, i].copy()) for i in range(3)), pa.array(points, pa.binary())],
+                names=["doc_id", "key", "n", "h1", "h2", "point"])
 
-    per_doc = written(texts.mapInArrow(classes, "doc_id long, key long, n long, h1 long, h2 long"), f"{label}-documents")
+    per_doc = written(texts.mapInArrow(classes, "doc_id long, key long, n long, h1 long, h2 long, point binary"), f"{label}-documents")
     # a number for every row: its id, or one that no id has
     number = F.coalesce("doc_id", F.col("h1").bitwiseAND(_NO_ID - 1) + F.lit(_NO_ID))
     per_doc = per_doc.withColumn("number", number)
     filled = per_doc.filter("n > 0")
     reps = filled.groupBy("h1", "h2", "n").agg(F.min("number").alias("rep"))
-    found = families(texts, lambda batch: word_sets(batch.column(1), words), t, label)
-    members = reps.join(found, reps.h1 == found.node).select("family", "rep", "n")
+    # a representative's point stands in its own row
+    points = per_doc.select(F.col("number").alias("rep"), "h1", "point").join(reps.drop("h2"), ["rep", "h1"])
+    members = families(texts, points.dropDuplicates(["rep", "h1"]), lambda batch: word_sets(batch.column(1), words), t, label)
     placed = written(blocks(members), f"{label}-blocks")
 
     def tokens(batches):
