@@ -44,11 +44,14 @@ def _with_minimum(rows: DataFrame) -> DataFrame:
     return rows.join(low, rows.u == F.col("m_u")).drop("m_u")
 
 
-def components(links: DataFrame, label: str = "links") -> DataFrame:
-    """node, root for every node of the two long columns of `links`; the root is the component's smallest node."""
+def components(links: DataFrame, label: str = "links", forests: bool = False) -> DataFrame:
+    """node, root for every node of the two long columns of `links`; the root is the component's smallest node.
+
+    `forests`: the links come as forests out of Python tasks. Joining them first would start a second worker in each task.
+    """
     a, b = (F.col(f"`{c}`") for c in links.columns)
     links = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v")
-    now = written(links.mapInArrow(_local, "u long, v long").distinct(), label)
+    now = written((links if forests else links.mapInArrow(_local, "u long, v long")).distinct(), label)
     mark = None
     while True:
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

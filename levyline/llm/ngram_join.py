@@ -142,7 +142,7 @@ def families(units: DataFrame, reps: DataFrame, sets_of: Sets, t: Threshold, lab
     placed = written(blocks(met.join(reps.select("h1", "rep", "n"), "h1")), f"{label}-cells")
     points = reps.select("h1", F.col("point").alias("tokens"))
     cells = seats(placed, t).join(points, "h1").select("family", "a", "b", "side", "rep", "tokens")
-    found = components(verified_links(cells, t, as_point, bounded_pairs), f"{label}-families")
+    found = components(verified_links(cells, t, as_point, bounded_pairs), f"{label}-families", forests=True)
     found = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
     named = found.select(F.col("root").alias("family"), F.col("node").alias("rep"))
     return named.join(reps.select("rep", "n"), "rep").select("family", "rep", "n")
@@ -361,7 +361,7 @@ def _components_of_rows(docs: DataFrame, words: int, t: Threshold, label: str) -
     # copies, and rows that share an id
     low = reps.select("h1", "h2", F.col("rep").alias("v"))
     same = filled.join(low, ["h1", "h2"]).filter("number <> v").select(F.col("number").alias("u"), "v")
-    roots = components(links.unionByName(same), f"{label}-links")
+    roots = components(links.unionByName(same), f"{label}-links", forests=True)
     joined = per_doc.join(roots, per_doc.number == roots.node, "left")
     return joined.select("doc_id", "key", "n", "number", F.coalesce("root", "number").alias("root"))
 
