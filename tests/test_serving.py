@@ -86,6 +86,26 @@ def test_state_holds_what_lies_behind_no_watermark(spark, tmp_path):
     assert len(sizes) >= 6 and max(sizes[2:]) <= min(sizes[1:]) + 20 and sizes[-1] <= 20
 
 
+def test_states_are_no_more_than_buckets(spark, tmp_path):
+    """600 customers with a filing and two profiles each: their rows lie in the states of buckets, and each finds its own profile."""
+    own = stream_session(spark)
+    filings, profiles = Topic(tmp_path, "filings"), Topic(tmp_path, "profiles")
+    filings.put(*[filing(f"A{c}", f"C{c}", _produced_at=stamp(60)) for c in range(600)])
+    profiles.put(*[{"customer_id": f"C{c}", "age": c % 90 + late, "_produced_at": stamp(late)} for c in range(600) for late in (1, 5)])
+    for topic in (filings, profiles):
+        topic.put(end_of_topic())
+    plan = jobs.asof_enriched_filings(filings.stream(own, maxFilesPerTrigger="1"), profiles.stream(own, maxFilesPerTrigger="1"))
+    query = (
+        plan.select("application_id", "age").writeStream.format("memory").queryName("asof_buckets")
+        .option("checkpointLocation", str(tmp_path / "c")).trigger(**AVAILABLE_NOW).start()
+    )
+    finish(query)
+    got = {r.application_id: r.age for r in own.table("asof_buckets").collect()}
+    assert got == {f"A{c}": c % 90 + 5 for c in range(600)}
+    sizes = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(sizes) <= 4 * lookup.BUCKETS + 10
+
+
 def table(spark, path):
     return manifest.ServingTable(spark, str(path), SCHEMA, ["k"], expires="expires_at")
 
