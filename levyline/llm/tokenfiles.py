@@ -14,6 +14,7 @@ so a task that runs again replaces its own file.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from functools import lru_cache
 
@@ -37,6 +38,7 @@ END_ID = 2
 # The word pattern of byte-level BPE, a fixed value of the vocabulary file's pre-tokenizer.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 MARKS = ".,;:!?"
+NUMBERS = [struct.Struct(f"<{n}I") for n in range(16)]  # ids of a piece as bytes
 _SPACE_RUN = re.compile(r" (?!\S)")
 _UNIT = re.compile(r" (?=\S)")
 _PLAIN = re.compile("[\x00-ɏ]*")  # where every Unicode version has the same letters, digits and spaces
@@ -83,8 +85,12 @@ class Encoder(dict):
         return b"".join([self.pieces.get(p) or self._piece(p) for p in WORDS.findall(text)])
 
     def _piece(self, piece: str) -> bytes:
-        letters = piece.encode("utf-8").decode("latin-1").translate(self.letters)
-        ids = np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+        if piece.isascii() and piece.isprintable():  # printable bytes stand for themselves, but the space
+            letters = piece.replace(" ", self.letters[32])
+        else:
+            letters = piece.encode("utf-8").decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(letters)]
+        ids = NUMBERS[len(ids)].pack(*ids) if len(ids) < len(NUMBERS) else np.array(ids, "<u4").tobytes()
         if len(self.pieces) < PIECES:
             self.pieces[piece] = ids
         return ids

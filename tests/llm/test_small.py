@@ -359,6 +359,16 @@ def test_token_files_match_the_library(spark):
     assert [r.start for r in ordered] == [0, *np.cumsum([r.n_tokens for r in ordered])[:-1].tolist()]
 
 
+def test_pieces_are_those_of_the_library():
+    """Printable, control and long pieces, and letters outside ASCII."""
+    from levyline.llm.tokenfiles import Encoder
+
+    made = Encoder(vocabulary(), escape=False)
+    for text in ["a plain word, and 12 numbers!", "tab\there\x7f \x01\x1f end", "  two  spaces \n\n", "é naïve 日本 ", "x" * 300, " " + "=" * 90 + "qzj" * 40, ""]:
+        want = made.tokenizer.encode(text, add_special_tokens=False).ids
+        assert made.encode(text) == np.array(want, "<u4").tobytes()
+
+
 def test_the_query_follows_the_plain_library_call(spark, tmp_path):
     from tokenizers import Tokenizer
 
