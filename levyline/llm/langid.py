@@ -26,6 +26,7 @@ SAMPLE = 1500  # documented bound: labelled rows per language that the profiles
 LANGUAGES = 1024  # documented bound: the languages with the most labelled rows are learned
 PIECE = 1_000_000  # characters of a text looked at together
 BATCH = 400_000  # characters bundled together
+GRAMS = 1024  # trigrams whose vectors are in memory at once
 QUANTILE = 0.01  # of a language's labelled scores, from which its bound is made
 CLASSES = 12  # texts count as alike long from 2**12 different trigrams on
 HEADS = (8, 32, 128, 512, 2048)  # codes of the parts of labelled texts that stand for short texts
@@ -125,7 +126,8 @@ def counted_bundles(n: int, parts: Iterable[tuple[int, np.ndarray]]) -> tuple[np
             first = owners[0]
             owner = np.repeat(np.array(owners) - first, [len(p) for p in pieces])[:-2]
             counts = np.bincount(owner[whole] * len(grams) + at[whole], minlength=(owners[-1] - first + 1) * len(grams)).reshape(-1, len(grams))
-            out[first:owners[-1] + 1] += counts.astype(np.float32) @ bound_vectors(grams)
+            for some in range(0, len(grams), GRAMS):
+                out[first:owners[-1] + 1] += counts[:, some:some + GRAMS].astype(np.float32) @ bound_vectors(grams[some:some + GRAMS])
             totals[first:owners[-1] + 1] += counts.sum(axis=1)
         owners.clear()
         pieces.clear()

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from levyline.llm.components import components
 from levyline.llm.decontaminate import qgrams
-from levyline.llm.keyfilter import maybe_among
+from levyline.llm.keyfilter import with_maybe_among
 from levyline.llm.ngram_join import Threshold, blocks, seats, verified_links
 from levyline.llm.textsets import free_names, mix, small_batches, text_slices
 from levyline.session import written
@@ -170,7 +170,7 @@ def dropped_lines(docs: DataFrame, label: str = "lines") -> DataFrame:
     placed = written(blocks(members), f"{label}-blocks")
     side = F.col("side").cast("long").alias("side")
     wanted = seats(placed, SIMILAR).groupBy("key").agg(F.collect_list(F.struct("family", "a", "b", side, "rep", "line")).alias("wanted"))
-    near = texts.filter(maybe_among(placed.select("key"))(F.col("key")))
+    near = with_maybe_among(texts, F.col("key"), placed.select("key"), "open").filter("open")
     rows = near.join(wanted, "key").select("text", "wanted").mapInArrow(_wanted_lines, "family long, a long, b long, side long, rep long, tokens binary")
     links = verified_links(rows, SIMILAR, _line_set)
     roots = components(links, f"{label}-links")
@@ -193,7 +193,7 @@ def without_repeats(docs: DataFrame, label: str = "lines") -> DataFrame:
     lost = written(dropped_lines(docs, label).filter("size(lost) > 0"), f"{label}-lost")
     own_key, open_, key, gone = free_names(docs, "own", "open", "key", "lost")
     lost = lost.select(F.col("key").alias(key), F.col("lost").alias(gone))
-    own = docs.withColumn(own_key, F.xxhash64("doc_id", "text")).withColumn(open_, maybe_among(lost.select(key))(F.col(own_key)))
+    own = with_maybe_among(docs.withColumn(own_key, F.xxhash64("doc_id", "text")), F.col(own_key), lost.select(key), open_)
     none = F.array().cast("array<bigint>")
     # documents that lose nothing need no shuffle
     whole = own.filter(~F.col(open_)).withColumn(gone, none)

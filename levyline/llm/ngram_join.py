@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from levyline.llm.components import components
-from levyline.llm.keyfilter import maybe_among
+from levyline.llm.keyfilter import with_maybe_among
 from levyline.llm.textsets import free_names, mix, own_columns, set_hash, small_batches, word_sets
 from levyline.session import written
 
@@ -352,7 +352,7 @@ def _components_of_rows(docs: DataFrame, words: int, t: Threshold, label: str) -
                 names=["rep", "n", "tokens"])
 
     wanted = placed.select(F.col("rep").alias("doc_id")).distinct()
-    near = texts.filter("doc_id IS NOT NULL").filter(maybe_among(wanted)(F.col("doc_id")))
+    near = with_maybe_among(texts.filter("doc_id IS NOT NULL"), F.col("doc_id"), wanted, "open").filter("open")
     named = near.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
     chosen = named.unionByName(texts.filter("doc_id IS NULL").select("doc_id", "text"))
     with_tokens = chosen.mapInArrow(tokens, "rep long, n long, tokens binary")
@@ -389,9 +389,8 @@ def one_per_component(docs: DataFrame, words: int = 5, num: int = 80, den: int =
     kept = kept.select("root", F.col("first.key").alias("kept_key"), "n")
     # documents that share their component with no other row need no decision, and no shuffle
     shared = rows.join(kept.filter("n > 1"), "root").select("key")
-    among = maybe_among(shared)
     key, open_, nth = free_names(docs, "key", "open", "nth")
-    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text")).withColumn(open_, among(F.col(key)))
+    keyed = with_maybe_among(docs.withColumn(key, F.xxhash64("doc_id", "text")), F.col(key), shared, open_)
     alone = keyed.filter(~F.col(open_)).select(*own_columns(docs))
     kept_keys = kept.select(F.col("kept_key").alias(key)).distinct()
     left = keyed.filter(open_).join(kept_keys, key, "left_semi")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from levyline.llm import (
-    chat, components, decontaminate, langid, line_dedup, mixing, ngram_join, permutation_index, secrets, textsets, tokenfiles, urls,
+    chat, components, decontaminate, keyfilter, langid, line_dedup, mixing, ngram_join, permutation_index, secrets, textsets, tokenfiles, urls,
 )
 from levyline.llm.queries import URL_RULES, op4_token_planes, vocabulary
 
@@ -621,3 +621,26 @@ def test_chat_round_trip(spark):
         mine = sorted(((t is not None, t or 0, r or "", x or "") for c, t, r, x in rows if c == conv))
         assert [(t.role, t.text) for t in back[conv].turns] == [(r, x) for _, _, r, x in mine]
         assert back[conv].loss == "".join(x for _, _, r, x in mine if r == "assistant")
+
+
+def test_bitmap_of_keys_needs_no_python_worker(spark):
+    """Rows with a partner are flagged, all rows stay as they are, whatever the names of their columns."""
+    rows = spark.createDataFrame([(i, i * 2, "x") for i in range(50)] + [(None, 1, "y")], "slot long, word long, bits string")
+    keys = spark.createDataFrame([(i,) for i in (3, 3, 7, 1000)], "slot long")
+    out = keyfilter.with_maybe_among(rows, F.col("slot"), keys, "open")
+    assert out.columns == ["slot", "word", "bits", "open"]
+    found = out.collect()
+    assert sorted((r.slot or -1, r.word, r.bits) for r in found) == sorted((r.slot or -1, r.word, r.bits) for r in rows.collect())
+    assert {r.slot for r in found if r.open} == {3, 7}
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_vectors_of_few_trigrams_are_in_memory_at_once(monkeypatch):
+    rng, sizes, made = np.random.default_rng(5), [], langid.bound_vectors
+    texts = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 3000)) for _ in range(4)]
+    monkeypatch.setattr(langid, "bound_vectors", lambda grams: sizes.append(len(grams)) or made(grams))
+    monkeypatch.setattr(langid, "GRAMS", 10**9)
+    whole = langid.bundles(texts)
+    assert sizes.pop() > 1024
+    monkeypatch.setattr(langid, "GRAMS", 1024)
+    assert (langid.bundles(texts) == whole).all() and max(sizes) <= 1024
