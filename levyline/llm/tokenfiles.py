@@ -13,6 +13,7 @@ so a task that runs again replaces its own file.
 
 from __future__ import annotations
 
+import codecs
 import re
 import struct
 import zlib
@@ -37,6 +38,9 @@ UNITS, PIECES = 250_000, 400_000
 END_ID = 2
 # The word pattern of byte-level BPE, a fixed value of the vocabulary file's pre-tokenizer.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"  # the same classes where a text is plain (below)
+PLAIN_WORDS = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 MARKS = ".,;:!?"
 NUMBERS = [struct.Struct(f"<{n}I") for n in range(16)]  # ids of a piece as bytes
 _SPACE_RUN = re.compile(r" (?!\S)")
@@ -44,11 +48,12 @@ _UNIT = re.compile(r" (?=\S)")
 _PLAIN = re.compile("[\x00-ɏ]*")  # where every Unicode version has the same letters, digits and spaces
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letter by which byte-level BPE writes each byte: printable ones stand for themselves, others from 256 on."""
+def _byte_letters() -> str:
+    """The letters by which byte-level BPE writes the bytes 0 to 255: printable ones stand for themselves, others from 256 on."""
     kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in kept]
-    return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    letters = {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    return "".join(letters[b] for b in range(256))
 
 
 class Encoder(dict):
@@ -69,34 +74,45 @@ class Encoder(dict):
             self.tokenizer.encode_special_tokens = True
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (escape and t.special)]
         self.model, self.pieces, self.letters = self.tokenizer.model, {}, _byte_letters()
+        self.space = self.letters[32]
+        self.marks = {mark: self._model(mark) for mark in MARKS}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _model(self, letters: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(letters)]
+        return NUMBERS[len(ids)].pack(*ids) if len(ids) < len(NUMBERS) else np.array(ids, "<u4").tobytes()
+
     def _ids(self, text: str) -> bytes:
         if not (text.isascii() or _PLAIN.fullmatch(text)):
             return self._whole(text)
-        if text[:1] == " ":  # most units are a word, or a word and a mark: two pieces that need no pattern
-            if text[1:].isalpha():
-                return self.pieces.get(text) or self._piece(text)
-            if text[-1] in MARKS and text[1:-1].isalpha():
-                word, mark = text[:-1], text[-1]
-                return (self.pieces.get(word) or self._piece(word)) + (self.pieces.get(mark) or self._piece(mark))
-        return b"".join([self.pieces.get(p) or self._piece(p) for p in WORDS.findall(text)])
+        return b"".join([self.pieces.get(p) or self._piece(p) for p in PLAIN_WORDS.findall(text)])
+
+    def _spelled(self, piece: str) -> str:
+        return codecs.charmap_decode(piece.encode(), "strict", self.letters)[0]
+
+    def _word(self, word: str) -> bytes | None:
+        """Ids of a space and a word; None unless it is nothing but letters that every Unicode version has."""
+        if not word.isalpha():
+            return None
+        if word.isascii():
+            return self.get(word) or self._model(self.space + word)
+        return self._model(self._spelled(" " + word)) if _PLAIN.fullmatch(word) else None
 
     def _piece(self, piece: str) -> bytes:
-        if piece.isascii() and piece.isprintable():  # printable bytes stand for themselves, but the space
-            letters = piece.replace(" ", self.letters[32])
-        else:
-            letters = piece.encode("utf-8").decode("latin-1").translate(self.letters)
-        ids = [t.id for t in self.model.tokenize(letters)]
-        ids = NUMBERS[len(ids)].pack(*ids) if len(ids) < len(NUMBERS) else np.array(ids, "<u4").tobytes()
+        ids = self._model(self._spelled(piece))
         if len(self.pieces) < PIECES:
             self.pieces[piece] = ids
         return ids
 
     def __missing__(self, unit: str) -> bytes:
-        ids = self._ids(" " + unit)
+        # most units are a word, or a word and a mark: two pieces that need no pattern
+        ids = self._word(unit)
+        if ids is None and unit[-1:] in self.marks:
+            word = self._word(unit[:-1])
+            ids = word and word + self.marks[unit[-1]]
+        ids = ids or self._ids(" " + unit)
         if len(self) < UNITS and len(unit) < 64:
             self[unit] = ids
         return ids

@@ -623,6 +623,21 @@ def test_chat_round_trip(spark):
         assert back[conv].loss == "".join(x for _, _, r, x in mine if r == "assistant")
 
 
+def test_words_are_remembered_once():
+    """A word, alone or before a mark, goes to the model without a pattern and takes no place among the pieces."""
+    made = tokenfiles.Encoder(vocabulary(), escape=False)
+    for text in ["a plain word, a wörd. again", "x ', ., 'tis ab's don't, 12, ɐb, ñ,"]:
+        assert made.encode(text) == np.array(made.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if "'" not in text:
+            assert set(made.pieces) == {"a"}  # what stands before the first space
+
+
+def test_plain_pattern_cuts_as_the_general_one():
+    odd = [chr(c) for c in range(0x250)]
+    for text in ["".join(odd), " ".join(odd), *(f"a {c}b{c}1{c}{c} {c}" for c in odd), "x's 're  end  "]:
+        assert tokenfiles.PLAIN_WORDS.findall(text) == tokenfiles.WORDS.findall(text)
+
+
 def test_bitmap_of_keys_needs_no_python_worker(spark):
     """Rows with a partner are flagged, all rows stay as they are, whatever the names of their columns."""
     rows = spark.createDataFrame([(i, i * 2, "x") for i in range(50)] + [(None, 1, "y")], "slot long, word long, bits string")
