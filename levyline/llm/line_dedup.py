@@ -2,10 +2,14 @@
 
 A line is the set of its character shingles (`Q` bytes of the lower-cased line with single spaces). One hash of every shingle gives
 all minima: hash space is cut into `BINS` ranges and the smallest hash in each range is one value of the signature; empty ranges borrow from the
-next. Bands of `ROWS` values make lines meet. Lines that meet are compared exactly and links are joined to components by
-distributed union-find, as in the n-gram join. Of every component the first line by document and place stays.
+next. Bands of `ROWS` values make lines meet. Most lines that meet are unlike, so they meet as sketches: bit g of a sketch tells whether
+an odd number of shingles falls into group g, so two sketches differ in at most as many bits as the sets do in shingles, and no link
+is lost. Lines within that bound, directly or over others, form a family; only lines of families are fetched and compared exactly, and
+links are joined to components by distributed union-find, as in the n-gram join. Of every component the first line by document and
+place stays.
 
-Equal sets are one line to the banding, so a line that a third of all documents hold meets others once per partition.
+Equal sets are one line to the banding, so a line that a third of all documents hold meets others once per partition. Lines that share
+a band are compared in cells of `CELL` lines by `CELL`, however many share it.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from levyline.llm.components import components
+from levyline.llm.components import components, forest
 from levyline.llm.decontaminate import qgrams
 from levyline.llm.keyfilter import with_maybe_among
 from levyline.llm.ngram_join import Threshold, blocks, seats, verified_links
@@ -27,6 +31,9 @@ from levyline.session import written
 Q = 5
 BINS, ROWS, BANDS = 32, 3, 10  # a pair at 0.8 shares a band with a chance of 0.999
 SIMILAR = Threshold(80, 100)
+CELL = 8192  # lines of a band that meet in one task
+HELD = 30_000  # rows of whole cells compared at once
+WORDS = 4  # of 64 bits in the sketch of a short line
 _BITS = 44  # of a shingle's hash next to the number of its line
 _LOW = np.uint64(2**_BITS - 1)
 _CLEAN = np.arange(256, dtype=np.uint8)
@@ -112,8 +119,24 @@ def bands(begins: np.ndarray, both: np.ndarray) -> np.ndarray:
     return mix(out + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
+def sketches(begins: np.ndarray, both: np.ndarray, wanted: np.ndarray) -> pa.Array:
+    """Of each wanted line the parities of its shingles by group, as bits; of others nothing.
+
+    The groups are a power of two, 0.64 for each shingle at least: two unlike lines then differ in more bits than linked ones may.
+    """
+    sizes = np.diff(np.append(begins, len(both)))
+    least = np.maximum(64 * WORDS, np.ceil(0.64 * sizes))
+    bits = np.where(wanted, 2 ** np.ceil(np.log2(least)).astype(np.int64), 0)
+    ends = np.concatenate([[0], np.cumsum(bits)])
+    own = np.repeat(wanted, sizes)
+    group = (both[own] & (np.repeat(bits, sizes)[own] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(np.repeat(ends[:-1], sizes)[own] + group, minlength=ends[-1]) & 1
+    packed = np.packbits(odd.astype(np.uint8), bitorder="little")
+    return pa.Array.from_buffers(pa.binary(), len(bits), [None, pa.py_buffer((ends // 8).astype(np.int32)), pa.py_buffer(packed)])
+
+
 def _lines(batches) -> Iterator[pa.RecordBatch]:
-    """(key, line, h1, h2, n, bands): every line that is not blank; the bands only where a set comes first in its partition."""
+    """(key, line, h1, n, bands, sketch): every line that is not blank; the last two only where a set comes first in its partition."""
     seen: set[int] = set()
     for batch in batches:
         keys = batch.column(1).to_numpy(zero_copy_only=False)
@@ -124,16 +147,119 @@ def _lines(batches) -> Iterator[pa.RecordBatch]:
                 continue
             low = both & _LOW
             h1 = np.add.reduceat(mix(low), begins).view(np.int64)
-            h2 = np.add.reduceat(mix(low ^ np.uint64(0xD6E8FEB86659FD93)), begins).view(np.int64)
             n = np.diff(np.append(begins, len(both)))
             doc = np.searchsorted(per_doc, lines, "right") - 1
             new = np.array([h not in seen and not seen.add(h) for h in h1.tolist()])
             lists = bands(begins, both)[new]
             ends = np.concatenate([[0], np.cumsum(np.where(new, BANDS, 0))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[first:last][doc]), pa.array(lines - per_doc[doc]), pa.array(h1), pa.array(h2), pa.array(n),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(lists.ravel()))],
-                names=["key", "line", "h1", "h2", "n", "bands"])
+                [pa.array(keys[first:last][doc]), pa.array(lines - per_doc[doc]), pa.array(h1), pa.array(n),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(lists.ravel())), sketches(begins, both, new)],
+                names=["key", "line", "h1", "n", "bands", "sketch"])
+
+
+def bounded_links(names: np.ndarray, sides: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, flat: np.ndarray, ends: np.ndarray, t: Threshold) -> np.ndarray:
+    """A forest of the pairs of rows whose sizes and sketches allow a link; rows lie by cell (`names`), then by size.
+
+    Row i's sketch is words `ends[i]` to `ends[i + 1]` of `flat`. Rows on one side of a cell of two blocks do not meet (side 2: all do).
+    """
+    wide = np.diff(ends)
+
+    def halved(rows: np.ndarray, width: int, to: int) -> np.ndarray:
+        words = flat[ends[rows][:, None] + np.arange(width)]
+        return np.bitwise_xor.reduce(words.reshape(len(rows), -1, to), axis=1)
+
+    def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) * (t.den + t.num)
+
+    short = np.zeros((len(sizes), WORDS), np.uint64)
+    for width in np.unique(wide).tolist():
+        rows = np.flatnonzero(wide == width)
+        short[rows] = halved(rows, width, WORDS)
+    last = np.flatnonzero(np.concatenate([names[1:] != names[:-1], [True]]))
+    # rows lie by size, so a row's partners end at the last one of its cell that is not too large
+    stop = np.repeat(last, np.diff(np.concatenate([[-1], last])))
+    left, step, out = np.arange(len(sizes)), 1, []
+    while len(left):
+        left = left[left + step <= stop[left]]
+        left = left[sizes[left + step] * t.num <= sizes[left] * t.den]
+        right = left + step
+        a = left[(sides[left] != sides[right]) | (sides[left] == 2)]
+        b = a + step
+        most = (t.den - t.num) * (sizes[a] + sizes[b])
+        near = differing(short[a], short[b]) <= most
+        a, b, most = a[near], b[near], most[near]
+        for width in np.unique(wide[a]).tolist() if len(a) else []:
+            # b is no smaller than a, so its sketch is no shorter
+            for other in np.unique(wide[b][wide[a] == width]).tolist():
+                these = (wide[a] == width) & (wide[b] == other)
+                fits = differing(halved(a[these], width, width), halved(b[these], other, width)) <= most[these]
+                out.append(np.stack([nodes[a[these][fits]], nodes[b[these][fits]]], axis=1))
+        step += 1
+    pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+    return forest(pairs) if len(pairs) else pairs
+
+
+def _bounded(batches) -> Iterator[pa.RecordBatch]:
+    """u, v of bounded_links of rows (value, a, b, side, node, n, sketch) that lie by cell and size; whole cells are compared."""
+
+    def links(table: pa.Table) -> pa.RecordBatch:
+        keys = np.stack([table.column(c).to_numpy() for c in ("value", "a", "b")])
+        names = np.concatenate([[0], np.cumsum((keys[:, 1:] != keys[:, :-1]).any(axis=0))])
+        sketch = pa.concat_arrays(table.column("sketch").chunks)
+        ends = np.frombuffer(sketch.buffers()[1], np.int32)[sketch.offset:sketch.offset + len(sketch) + 1]
+        flat = np.frombuffer(sketch.buffers()[2], np.uint8)[ends[0]:ends[-1]].copy().view(np.uint64)
+        side, node, n = (table.column(c).to_numpy() for c in ("side", "node", "n"))
+        found = bounded_links(names, side, node, n, flat, (ends - ends[0]).astype(np.int64) // 8, SIMILAR)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], names=["u", "v"])
+
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows += batch.num_rows
+        if rows < HELD:
+            continue
+        keys = [batch.column(c).to_numpy() for c in ("value", "a", "b")]
+        begins = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+        if len(begins):  # what is held ends in this batch
+            held[-1] = batch.slice(0, int(begins[-1]))
+            yield links(pa.Table.from_batches(held))
+            held = [batch.slice(int(begins[-1]))]
+            rows = held[0].num_rows
+    if held:
+        yield links(pa.Table.from_batches(held))
+
+
+def _met_in_cells(lines: DataFrame) -> DataFrame:
+    """value, a, b, side, node, n: the cells of every line that shares a band with a line of a size that allows a link.
+
+    Of lines of a band (`value`) in more than CELL rows each block meets itself (side 2) and, as one of two sides, each other one.
+    """
+    met = lines.select(F.explode("bands").alias("value"), F.col("h1").alias("node"), F.col("n").cast("int").alias("n"))
+    order = Window.partitionBy("value").orderBy("n", "node")
+    # the same set may come from several partitions
+    one = met.withColumn("before", F.lag("node").over(order)).filter("before IS NULL OR before <> node").drop("before")
+    sized = one.withColumns({"less": F.lag("n").over(order), "more": F.lead("n").over(order), "place": F.row_number().over(order)})
+    rows = F.max("place").over(Window.partitionBy("value"))
+    num, den = F.lit(SIMILAR.num).cast("long"), F.lit(SIMILAR.den).cast("long")
+    near = (F.col("less") * den >= F.col("n") * num) | (F.col("n") * den >= F.col("more") * num)
+    fit = sized.filter("less IS NOT NULL OR more IS NOT NULL").withColumn("blocks", F.ceil(rows / CELL)).filter(near)
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("own")
+    placed = fit.select("value", "node", "n", own, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    side = F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int"))
+    return placed.select("value", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), side.alias("side"), "node", "n")
+
+
+def families(lines: DataFrame, label: str) -> DataFrame:
+    """node, root of all lines (h1, n, bands, sketch) whose sketch is within the bound of that of another one that shares a band."""
+    first = lines.filter("size(bands) > 0")
+    sketch = first.groupBy(F.col("h1").alias("node")).agg(F.min("sketch").alias("sketch"))
+    cells = _met_in_cells(first).join(sketch, "node").select("value", "a", "b", "side", "node", F.col("n").cast("long").alias("n"), "sketch")
+    cells = cells.repartition("value", "a", "b").sortWithinPartitions("value", "a", "b", "n")
+    return components(cells.mapInArrow(_bounded, "u long, v long"), label, forests=True)
 
 
 def _wanted_lines(batches) -> Iterator[pa.RecordBatch]:
@@ -158,12 +284,9 @@ def dropped_lines(docs: DataFrame, label: str = "lines") -> DataFrame:
     """
     small_batches(docs)
     texts = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key")).filter("text IS NOT NULL")
-    found = texts.select("text", "key").mapInArrow(_lines, "key long, line long, h1 long, h2 long, n long, bands array<long>")
+    found = texts.select("text", "key").mapInArrow(_lines, "key long, line long, h1 long, n long, bands array<long>, sketch binary")
     lines = written(found, f"{label}-all")
-    met = lines.select(F.posexplode("bands").alias("band", "value"), F.col("h1").alias("node"))
-    first = F.first("node").over(Window.partitionBy("value", "band").orderBy("node").rowsBetween(Window.unboundedPreceding, 0))
-    near = met.withColumn("low", first).filter("low <> node").select("node", "low")
-    near = components(near, f"{label}-families")
+    near = families(lines, f"{label}-families")
     near = near.unionByName(near.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("root", "family")
     one = lines.filter("size(bands) > 0").groupBy("h1", "n").agg(F.min(F.struct("key", "line")).alias("at"))
     members = one.join(near, one.h1 == near.node).select("family", F.col("h1").alias("rep"), "n", "at.key", "at.line")

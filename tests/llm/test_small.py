@@ -508,6 +508,27 @@ def test_short_lines_with_one_changed_letter_are_linked(spark):
     assert line_dedup.BANDS * line_dedup.ROWS <= line_dedup.BINS and 1 - (1 - 0.8**line_dedup.ROWS) ** line_dedup.BANDS > 0.999
 
 
+def test_lines_of_a_band_become_a_family_only_within_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "CELL", 7)  # many blocks of the one band
+    rng = np.random.default_rng(31)
+    sets, group = [], []
+    for i, n in enumerate([40, 90, 200, 380, 399, 400, 401, 640, 790, 800, 1500, 3000]):
+        tokens = rng.integers(0, 2**64, 2 * n, dtype=np.uint64)
+        # a tenth replaced, a tenth added: 0.81 and 0.91
+        sets += [tokens[:n], np.concatenate([tokens[n // 10:n], tokens[n:n + n // 10]]), tokens[:n + n // 10]]
+        group += [i] * 3
+    sets += [rng.integers(0, 2**64, n, dtype=np.uint64) for n in range(30, 900, 15)]
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, begins, both = line_dedup.line_sets(owner, np.concatenate(sets))
+    sketch = line_dedup.sketches(begins, both, np.ones(len(sets), bool)).to_pylist()
+    assert [len(x) for x in sketch[:3]] == [32] * 3 and len(sketch[30]) == 128
+    rows = [(i, len(x), [5], y) for i, (x, y) in enumerate(zip(sets, sketch, strict=True))] * 2  # as of two partitions
+    lines = spark.createDataFrame(rows, "h1 long, n long, bands array<long>, sketch binary").repartition(3)
+    got = {r.node: r.root for r in line_dedup.families(lines, "test-families").collect()}
+    assert got == {i: 3 * g for i, g in enumerate(group) if i != 3 * g}
+    assert line_dedup._met_in_cells(lines).agg(F.max("b")).first()[0] > 3
+
+
 # decontamination
 
 
