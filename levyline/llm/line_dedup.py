@@ -179,25 +179,33 @@ def bounded_links(names: np.ndarray, sides: np.ndarray, nodes: np.ndarray, sizes
     last = np.flatnonzero(np.concatenate([names[1:] != names[:-1], [True]]))
     # rows lie by size, so a row's partners end at the last one of its cell that is not too large
     stop = np.repeat(last, np.diff(np.concatenate([[-1], last])))
-    left, step, out = np.arange(len(sizes)), 1, []
+    found, label = np.unique(nodes, return_inverse=True)
+    left, step = np.arange(len(sizes)), 1
     while len(left):
         left = left[left + step <= stop[left]]
         left = left[sizes[left + step] * t.num <= sizes[left] * t.den]
         right = left + step
-        a = left[(sides[left] != sides[right]) | (sides[left] == 2)]
+        # a large group of near copies is connected after a step or two
+        a = left[((sides[left] != sides[right]) | (sides[left] == 2)) & (label[left] != label[right])]
         b = a + step
         most = (t.den - t.num) * (sizes[a] + sizes[b])
         near = differing(short[a], short[b]) <= most
         a, b, most = a[near], b[near], most[near]
-        for width in np.unique(wide[a]).tolist() if len(a) else []:
+        linked = []
+        for width in np.unique(wide[a]).tolist():
             # b is no smaller than a, so its sketch is no shorter
             for other in np.unique(wide[b][wide[a] == width]).tolist():
                 these = (wide[a] == width) & (wide[b] == other)
                 fits = differing(halved(a[these], width, width), halved(b[these], other, width)) <= most[these]
-                out.append(np.stack([nodes[a[these][fits]], nodes[b[these][fits]]], axis=1))
+                linked.append(np.stack([label[a[these][fits]], label[b[these][fits]]], axis=1))
+        if sum(map(len, linked)):
+            below = forest(np.concatenate(linked))
+            root = np.arange(len(found))
+            root[below[:, 0]] = below[:, 1]
+            label = root[label]
         step += 1
-    pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-    return forest(pairs) if len(pairs) else pairs
+    below = np.flatnonzero(found[label] != nodes)
+    return np.unique(np.stack([nodes[below], found[label[below]]], axis=1), axis=0)
 
 
 def _bounded(batches) -> Iterator[pa.RecordBatch]:
